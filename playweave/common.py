@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Java regex class of everything that shows as a blank (Unicode separators, controls, the BOM and the zero-width space).
-BLANKS = r"[\s\p{Z}\u0085​﻿]"
+BLANKS = r"[\s\p{Z}\u0085\u200B\uFEFF]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
