@@ -8,7 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playweave.common import table
-from playweave.llm import copies, survivor
+from playweave.llm import copies, garble, labels, lookalike, survivor
+
+
+def p1_mapped(spark: SparkSession, d: str) -> DataFrame:
+    """Every label that is to be mapped, with its entry; 0 reports a miss."""
+    channels, reference = table(spark, d, "channels"), table(spark, d, "canonical_groups")
+    return labels.map_labels(channels, reference, labels.fit(channels, reference), garble.fit(channels, rounds=0))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_mapped(spark, d).select("row_id", "field_name", "canon_id")
+
+
+def p1_misses(spark: SparkSession, d: str) -> DataFrame:
+    """Labels that mean no entry, with their numbers of uses."""
+    return p1_mapped(spark, d).filter("canon_id = 0").groupBy("field_name", "label").agg(F.count(F.lit(1)).alias("uses"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    channels = table(spark, d, "channels")
+    bad = garble.garbled(garble.fit(channels, rounds=0))
+    names = channels.select("row_id", "result_id", "name").filter(~bad(F.col("name"), garble.source_cell(channels["source"])))
+    return lookalike.alike_pairs(names, "result_id")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -20,6 +42,22 @@ def p3_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return copies.channel_copies(table(spark, d, "channels"))[0]
 
 
+def p4_restored(spark: SparkSession, d: str) -> DataFrame:
+    """Every garbled text with the swap that spoiled it and, where nothing was lost, the text as it was."""
+    channels = table(spark, d, "channels")
+    return garble.detect(channels, garble.fit(channels))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return p4_restored(spark, d).select("row_id", "field_name")
+
+
+def p4_mapping(spark: SparkSession, d: str) -> DataFrame:
+    """The learned byte-to-letter table."""
+    channels = table(spark, d, "channels")
+    return garble.mapping(channels, garble.fit(channels))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return survivor.elect(table(spark, d, "channels"), table(spark, d, "source_list")).filter("is_clear").select(F.col("best_row").alias("row_id"))
 
@@ -28,5 +66,5 @@ def p6_survivors(spark: SparkSession, d: str) -> DataFrame:
     return survivor.elect(table(spark, d, "channels"), table(spark, d, "source_list")).withColumn("lines", F.array_join("lines", "\n"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_collapsed, p6_found, p6_survivors)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_mapped, p1_misses, p2_found, p3_found, p3_collapsed, p4_found, p4_restored, p4_mapping, p6_found, p6_survivors)}
 SQL: dict[str, str] = {}
