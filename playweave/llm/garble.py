@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playweave.common import is_blank, letters_digits, small_rows
-from playweave.llm.lookalike import LATIN_SHAPE
+from playweave.llm.lookalike import reshaped
 
 #: Encodings that text is written in, and those it may wrongly be read in. latin is Windows-1252 with Latin-1's controls.
 WRITTEN = ["utf-8", "gb18030", "big5", "cp932", "euc_jp", "cp949", "cp1251", "koi8_r", "cp866", "latin", "mac_roman"]
@@ -54,7 +54,7 @@ PRIOR = 0.04
 _TO_LATIN = str.maketrans({c: chr(b) for c, b in CP1252.items()})
 _INVISIBLE = re.compile("[­͏ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯︀-️﻿]")
 _ENCLOSED = re.compile("[①-⓿㈀-㏿⒈-⒛]")
-_WORD = re.compile(r"[^\W\d_]+")
+_CONFUSABLE = re.compile("[Ͱ-Ͽἀ-῿Ѐ-ԯµ\U0001d400-\U0001d7ff]")
 _SPLIT = re.compile("([ \\-|/]+)")
 _DAMAGE = re.compile("[\x80-\x9f�-\U000f0000-\U0010ffff]")
 
@@ -147,19 +147,12 @@ def _fold(ch: str) -> str:
     return " " if o < 128 or emoji or known_mark or ch.isspace() else ch
 
 
-@lru_cache(maxsize=1 << 12)
-def _script(ch: str) -> str:
-    name = unicodedata.name(ch, "")
-    return name.split(" ", 1)[0] if name.startswith(("LATIN", "GREEK", "CYRILLIC")) else ""
-
-
-def _look_alikes_folded(text: str) -> str:
-    """The disguises of problem 2 are no garbling: in words that mix scripts, letters take the Latin shape they share."""
-    def one(m: re.Match) -> str:
-        word = m.group()
-        return word.translate(LATIN_SHAPE) if len({_script(c) for c in word} - {""}) > 1 else word
-
-    return _WORD.sub(one, text)
+def _variants(word: str) -> list[str]:
+    """A word and the words it may be a disguise of (problem 2), which is no garbling."""
+    if not _CONFUSABLE.search(word):
+        return [word]
+    wide = unicodedata.normalize("NFKC", word)
+    return list(dict.fromkeys([word, reshaped(wide, "LATIN"), reshaped(wide, "CYRILLIC"), reshaped(wide, "GREEK")]))
 
 
 def folded(text: str) -> str:
@@ -254,7 +247,7 @@ class GarbleModel:
 
     def _odds(self, word: str) -> dict[int, tuple[float, str]]:
         log_p = self.language.log_p
-        stands = max(log_p(f" {folded(word)} "), log_p(f" {folded(_look_alikes_folded(word))} "))
+        stands = max(log_p(f" {folded(v)} ") for v in _variants(word))
         out: dict[int, tuple[float, str]] = {}
         best, seen = stands, {word}
         if marks := len(_DAMAGE.findall(word)) + sum(1 for ch in word if ch > "\u02ff" and unicodedata.category(ch) == "Cn"):

@@ -29,10 +29,10 @@ from playweave.llm.lookalike import LATIN_SHAPE, visible
 FIELDS = ["group_raw", "source_section", "group_name"]
 #: Most entries of a reference list.
 MOST_ENTRIES = 20_000
-#: Traditional characters and their simplified forms, as far as group labels use them.
-TRADITIONAL = "點聞際觀財經賽電競對極運動線經懸疑劇場裝連鄉兒樂園畫親課錄歷檔術項紀遊戲戰語學習賞車評測購櫥氣報報頻試導鑒弈釣時寵節慶俗東聯訊華韓選歐專寬帶輪廳聽風監樣門診農輔問軍綜藝謠際舊實臺廣書館國鏡誌圖術價購龍獨體質際範處後飛鳥魚馬鳴鐵銀長開關閣陽隊際險難靜韻頁順頭題顏類馬驗驚鬥鬧麗麥黃黨齊齒內視訪話該說調請論證識譯護讀變讓豐貝負貢貨貴買費資賀贊贏趕趙軟輕載輸轉辦遠適遲遷還邊郵鄰醫釋針鍾鑑將專尋對導屆屬島帳幫幹庫廟廠應廢張強彈彙復徵恆惡愛態慣憶懷懶戶執擇擊擔據換擴損揚揮撥擺擾攝攜"
-SIMPLIFIED = "点闻际观财经赛电竞对极运动线经悬疑剧场装连乡儿乐园画亲课录历档术项纪游戏战语学习赏车评测购橱气报报频试导鉴弈钓时宠节庆俗东联讯华韩选欧专宽带轮厅听风监样门诊农辅问军综艺谣际旧实台广书馆国镜志图术价购龙独体质际范处后飞鸟鱼马鸣铁银长开关阁阳队际险难静韵页顺头题颜类马验惊斗闹丽麦黄党齐齿内视访话该说调请论证识译护读变让丰贝负贡货贵买费资贺赞赢赶赵软轻载输转办远适迟迁还边邮邻医释针钟鉴将专寻对导届属岛帐帮干库庙厂应废张强弹汇复征恒恶爱态惯忆怀懒户执择击担据换扩损扬挥拨摆扰摄携"
-FOLD = {ord(t): s for t, s in zip(TRADITIONAL, SIMPLIFIED, strict=True)} | {ord(t): s for t, s in zip("際極線採優質彩現傳續熱態賓區館醫術遲漢滿龍慢戰當萬與個們這進會來國過裡裏間樓蘭灣島嶺鎮縣億兩單雙雲電震氫灶鑰鍵鎖鏈貓貍豬鷹雞鴨鵝鷺蟲蠶蝦蘇蔣薩藍蓮葉藥", "际极线采优质彩现传续热态宾区馆医术迟汉满龙慢战当万与个们这进会来国过里里间楼兰湾岛岭镇县亿两单双云电震氢灶钥键锁链猫狸猪鹰鸡鸭鹅鹭虫蚕虾苏蒋萨蓝莲叶药", strict=True)}
+#: Traditional characters and their simplified forms, for the characters of the group names.
+TRADITIONAL = "點聞際觀財經賽電競對極運動線懸劇場裝連鄉兒樂園畫親課錄歷檔紀戲語學習賞車評測購櫥氣報頻試導鑒釣時寵節慶東聯訊華韓選歐專寬帶輪廳聽風監樣門診農輔問軍綜藝謠臺廣書國誌圖類內鑑現區間"
+SIMPLIFIED = "点闻际观财经赛电竞对极运动线悬剧场装连乡儿乐园画亲课录历档纪戏语学习赏车评测购橱气报频试导鉴钓时宠节庆东联讯华韩选欧专宽带轮厅听风监样门诊农辅问军综艺谣台广书国志图类内鉴现区间"
+FOLD = {ord(t): s for t, s in zip(TRADITIONAL, SIMPLIFIED, strict=True)}
 #: What maintainers add around a label.
 PREFIXES = ["the"]
 SUFFIXES = ["专区", "频道", "台", "源", "高清", "超清", "标清", "hd", "fhd", "uhd", "sd", "4k", "genre", "channel", "tv"]
@@ -44,8 +44,8 @@ def forms(label: str) -> list[str]:
     text = re.sub(r"[,，;；]?\s*#\s*genre\s*#", " ", text)
     letters = "".join(ch for ch in text if ch.isalpha() or ch.isdigit())
     bare = "".join(ch for ch in re.sub(r"[\(（\[【]\s*\d+\s*[\)）\]】]", " ", text) if ch.isalpha())
-    out = [letters] if letters else []
-    todo = [letters.strip("0123456789"), bare]
+    out: list[str] = []
+    todo = [letters, letters.strip("0123456789"), bare]
     while todo:
         w = todo.pop(0)
         if not w or w in out:

@@ -4,8 +4,8 @@ Repair works word by word. Compatibility forms (width, letter styles) and combin
 kinds of blanks become one, and characters that show nothing are cut unless they hold an emoji together. In a word
 whose letters come from more than one of the Latin, Cyrillic and Greek scripts, the dominant script is the one with most
 letters; letters of the others are replaced by its look-alikes, and the replacement stands only if the result is in the
-corpus vocabulary: the words of one script that occur in the names. A word that consists of look-alikes only and stands
-among words of another script is tried in that script too. The vocabulary is never collected: candidate words, of which
+corpus vocabulary: the words of one script that occur in the names. A word of one script whose letters all look Latin is
+brought to the Latin spelling under the same condition. The vocabulary is never collected: candidate words, of which
 there are few, are checked by a semi-join.
 
 Nulls and blank names take no part. Letter case, hyphens against blanks and traditional against simplified characters
@@ -93,17 +93,22 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text)
 
 
+def reshaped(word: str, to: str) -> str:
+    """word with the letters that have a look-alike in a script replaced by it; accents stay."""
+    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", word).translate(SHAPES[to]))
+
+
 def candidates(text: str) -> list[tuple[str, str]]:
     """(word, replacement), best first, for the words of a plain name that may be disguised."""
     if text.isascii():
         return []
     found = []
-    every = Counter(s for ch in text if (s := script(ch)) in SHAPES)
     for word in dict.fromkeys(words(text)):
         own = Counter(s for ch in word if (s := script(ch)) in SHAPES)
-        order = [s for s, _ in own.most_common()] if len(own) > 1 else [s for s, _ in every.most_common() if s not in own] if own and len(word) <= 4 else []
+        # A word of one script has no dominant one to go by: if all of it looks Latin, the Latin spelling stands for it.
+        order = [s for s, _ in own.most_common()] if len(own) > 1 else ["LATIN"] if own and "LATIN" not in own else []
         for s in order:
-            new = word.translate(SHAPES[s])
+            new = reshaped(word, s)
             if new != word and all(script(ch) in (s, "", "OTHER") for ch in new):
                 found.append((word, new))
     return found
