@@ -133,7 +133,8 @@ def vocabulary(plain_names: DataFrame) -> DataFrame:
 
 def repaired(names: DataFrame) -> DataFrame:
     """names (columns row_id, name and others) with `same`: the form in which names that look alike are equal; null for null and blank names."""
-    rows = names.withColumn("plain", F.when(~is_blank(F.col("name")), plain_udf("name")))
+    # Four plans read these rows; their Python work is done once.
+    rows = materialize(names.withColumn("plain", F.when(~is_blank(F.col("name")), plain_udf("name"))), "plain-names")
     odd = F.coalesce(F.col("plain").rlike(r"[\p{IsCyrillic}\p{IsGreek}]"), F.lit(False))
     few = rows.filter(odd).select("plain").distinct().withColumn("c", F.explode(candidates_udf("plain"))).select("plain", "c.*")
     # Only words of mixed script, or short ones beside another script, get here; each is kept if the vocabulary has it.
@@ -160,7 +161,7 @@ def alike_pairs(names: DataFrame, scope: str) -> DataFrame:
     map-side combination over hashes, and only their rows are joined.
     """
     rows = repaired(names).filter("same IS NOT NULL").withColumn("set", F.xxhash64(scope, "same"))
-    rows = materialize(rows.select("row_id", "name", scope, "same", "set"), "names")
+    rows = rows.select("row_id", "name", scope, "same", "set")
     spelling = F.xxhash64("name")
     sets = rows.groupBy("set").agg(F.min(spelling).alias("least"), F.max(spelling).alias("most")).filter("least <> most").select("set")
     meeting = rows.join(sets, "set", "left_semi")
