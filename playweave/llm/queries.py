@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playweave.common import table
-from playweave.llm import copies, garble, labels, lookalike, survivor
+from playweave.llm import copies, credentials, garble, labels, langid, leakage, lookalike, survivor, tokens
 
 
 def p1_mapped(spark: SparkSession, d: str) -> DataFrame:
@@ -58,6 +58,16 @@ def p4_mapping(spark: SparkSession, d: str) -> DataFrame:
     return garble.mapping(channels, garble.fit(channels))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return credentials.find_credentials(table(spark, d, "source_results"))
+
+
+def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Digests of the redacted files and objects of every result."""
+    out = credentials.redact(table(spark, d, "source_results").select("result_id", "sites", "python_files"))
+    return out.select("result_id", F.md5(F.to_json("sites")).alias("sites_md5"), F.md5(F.to_json("python_files")).alias("files_md5"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return survivor.elect(table(spark, d, "channels"), table(spark, d, "source_list")).filter("is_clear").select(F.col("best_row").alias("row_id"))
 
@@ -66,5 +76,25 @@ def p6_survivors(spark: SparkSession, d: str) -> DataFrame:
     return survivor.elect(table(spark, d, "channels"), table(spark, d, "source_list")).withColumn("lines", F.array_join("lines", "\n"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_mapped, p1_misses, p2_found, p3_found, p3_collapsed, p4_found, p4_restored, p4_mapping, p6_found, p6_survivors)}
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.encode_corpus(table(spark, d, "documents"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p9_identified(spark: SparkSession, d: str) -> DataFrame:
+    """Every document that is not blank, with its language and confidence."""
+    documents, languages = table(spark, d, "documents"), table(spark, d, "languages")
+    out = langid.identify(documents, languages, langid.fit(documents, languages))
+    return out.filter("lang IS NOT NULL").select("doc_id", "label", "lang", "confidence", "mixed")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    documents, languages = table(spark, d, "documents"), table(spark, d, "languages")
+    return langid.found(documents, languages, langid.fit(documents, languages)).select("doc_id", "line_no", "lang")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_mapped, p1_misses, p2_found, p3_found, p3_collapsed, p4_found, p4_restored, p4_mapping, p5_found, p5_redacted, p6_found, p6_survivors, p7_ids, p8_found, p9_found, p9_identified)}
 SQL: dict[str, str] = {}
