@@ -19,6 +19,11 @@ INTRANET_MARKERS = ["ott.cctv.cn", ".hw.gmcc.net", "gslbserv.", "rrs0"]
 NAME_PATTERN = "(?:" + "|".join("[._-]*".join(n) for n in SENSITIVE_NAMES) + ")"
 
 
+def trimmed(text: Column) -> Column:
+    """Blanks of any kind cut at both ends."""
+    return F.regexp_replace(text, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+
+
 def scheme(url: Column) -> Column:
     """Lower-case scheme, empty if there is none."""
     return F.lower(F.regexp_extract(url, r"^\s*([A-Za-z][A-Za-z0-9+.\-]*)://", 1))
