@@ -52,6 +52,10 @@ _FALLBACK = re.compile(r"(?:\bget|getenv|\bpop|setdefault)\(\s*['\"](?P<n>[\w.\-
 _UNQUOTED = re.compile(r"^\s*(?:#|//|;|--|\*)?\s*(?P<n>[A-Za-z][\w.\-]*)\s*(?P<o>[:=])\s*(?P<v>[^\s'\"<>(){}\[\],]+)\s*$")
 
 
+#: A line without any of this holds no credential, unless it goes on from the line before.
+_HINT = re.compile(r"(?i)pass|pwd|secret|token|key|cred|auth|cookie|jwt|tk|salt|sig|sid|session|://|-----|eyJ|[sr]k_|gh[pousr]_|glpat|xox|AKIA|AIza|\s-u|--user")
+
+
 def sensitive(name: str) -> bool:
     """A variable, field or parameter of this name holds a credential."""
     flat = re.sub(r"[^a-z0-9]", "", re.sub(r"\[['\"]?([\w\-]+)['\"]?\]$", r".\1", name.strip("'\"")).rsplit(".", 1)[-1].lower())
@@ -141,7 +145,7 @@ def in_code(code: str) -> list[tuple[int, int]]:
     blocks = [(m.start(), e.end() if (e := re.compile("-----END").search(code, m.end())) else m.end()) for m in re.finditer(r"-----BEGIN (?:[A-Z0-9]+ )*(?:PUBLIC KEY|CERTIFICATE)-----", code)] + spans
     for n, line in enumerate(lines):
         base = starts[n]
-        if len(line) < SHORTEST or any(a <= base < b for a, b in blocks):
+        if len(line) < SHORTEST or not (_HINT.search(line) or n and re.search(r"[=:(\\\\]\s*$", lines[n - 1])) or any(a <= base < b for a, b in blocks):
             continue
         found: list[tuple[int, int]] = []
         for m in _LITERAL.finditer(line):
