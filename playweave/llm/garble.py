@@ -12,8 +12,8 @@ Which swap a source suffered is unknown, so it is a latent variable, learned by
 * M step: the expected number of texts per source and swap gives the new probabilities, and the expected number of times
   that a garbled unit stands for a letter gives the byte-to-letter mapping.
 
-`mapping()` returns that learned table, and restoring applies it: units of one character by str.translate(), longer ones
-by their bytes. Texts whose every bigram is known to the model are certainly in order and skip the hypotheses.
+`mapping()` returns that learned table. Restoring undoes the most probable swap on the bytes of the spoiled words. Words
+whose every bigram is known to the model are certainly in order and skip the hypotheses.
 
 Nulls, empty, blank and pure ASCII texts are never garbled. Texts are taken whole, whatever their length. Equal texts
 get equal results within a source. A restored text is null where nothing is garbled or something was lost.

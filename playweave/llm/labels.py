@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from playweave.common import is_blank, small_rows
 from playweave.llm.garble import GarbleModel, source_cell
-from playweave.llm.lookalike import LATIN_SHAPE, visible
+from playweave.llm.lookalike import visible
 
 FIELDS = ["group_raw", "source_section", "group_name"]
 #: Most entries of a reference list.
@@ -40,7 +40,7 @@ SUFFIXES = ["专区", "频道", "台", "源", "高清", "超清", "标清", "hd"
 
 def forms(label: str) -> list[str]:
     """The letters of a label, first as typed, then with decoration taken off step by step."""
-    text = unicodedata.normalize("NFKC", visible(label)).casefold().translate(LATIN_SHAPE if label.isascii() else {}).translate(FOLD)
+    text = unicodedata.normalize("NFKC", visible(label)).casefold().translate(FOLD)
     text = re.sub(r"[,，;；]?\s*#\s*genre\s*#", " ", text)
     letters = "".join(ch for ch in text if ch.isalpha() or ch.isdigit())
     bare = "".join(ch for ch in re.sub(r"[\(（\[【]\s*\d+\s*[\)）\]】]", " ", text) if ch.isalpha())

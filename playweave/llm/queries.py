@@ -97,4 +97,23 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_mapped, p1_misses, p2_found, p3_found, p3_collapsed, p4_found, p4_restored, p4_mapping, p5_found, p5_redacted, p6_found, p6_survivors, p7_ids, p8_found, p9_found, p9_identified)}
-SQL: dict[str, str] = {}
+
+_BLANK = r"[\s\p{Z}\x{0085}\x{200B}\x{FEFF}]"
+_EDGE = r"""[\"''`<>(){}\[\]«»‘-‟〈-】〔-〛（）,.;:!?&|、。，；：！？．]"""
+_LINES = rf"""
+WITH a AS (SELECT row_id, regexp_replace(lower(channel_key), '[^\p{{L}}\p{{N}}]', '', 'g') AS k, regexp_replace(regexp_replace(replace(regexp_replace(lower(regexp_replace(url, '{_BLANK}', '', 'g')), '^{_EDGE}+|{_EDGE}+$', '', 'g'), '\', '/'), '#.*$', ''), '^$', '') AS t
+  FROM channels WHERE regexp_replace(url, '{_BLANK}', '', 'g') <> '' AND regexp_replace(channel_key, '{_BLANK}', '', 'g') <> ''),
+b AS (SELECT row_id, k, regexp_extract(t, '^([a-z][a-z0-9+.\-]*):/', 1) AS scheme, regexp_replace(t, '^([a-z][a-z0-9+.\-]*:)?/+', '') AS rest FROM a),
+c AS (SELECT row_id, k, scheme, array_to_string(list_filter(string_split(split_part(rest, '?', 1), '/'), lambda x: x <> ''), '/') AS place,
+  coalesce(array_to_string(list_sort(list_distinct(list_filter(string_split(replace(CASE WHEN contains(rest, '?') THEN replace(regexp_replace(rest, '^[^?]*\?', ''), '&amp;', '&') ELSE '' END, ';', '&'), '&'), lambda x: x <> ''))), '&'), '') AS params FROM b),
+d AS (SELECT row_id, min(row_id) OVER w AS first_id, count(*) OVER w AS copies FROM c WINDOW w AS (PARTITION BY k, scheme, place, params))"""
+_FULL = lambda c: f"CASE WHEN lower(regexp_replace({c}, '^{_BLANK}+|{_BLANK}+$', '', 'g')) NOT IN ({', '.join(repr(x) for x in survivor.STAND_INS)}) THEN 1 ELSE 0 END"
+SQL: dict[str, str] = {
+    "p3_found": f"{_LINES} SELECT first_id AS row_a, row_id AS row_b FROM d WHERE row_id <> first_id",
+    "p3_collapsed": f"{_LINES} SELECT row_id, copies FROM d WHERE row_id = first_id",
+    "p6_found": rf"""
+WITH a AS (SELECT c.row_id, regexp_replace(lower(c.channel_key), '[^\p{{L}}\p{{N}}]', '', 'g') AS k, {_FULL("c.logo")} + {_FULL("c.tvg_id")} + {_FULL("c.quality")} + CASE WHEN len(c.lines) > 0 THEN 1 ELSE 0 END AS filled,
+  coalesce(epoch_us(c.seen_at), -9000000000000000) AS seen, coalesce(s.trust, -1) AS trust FROM channels c LEFT JOIN source_list s ON c.source = s.source WHERE c.channel_key IS NOT NULL),
+b AS (SELECT *, max(filled) OVER w AS f, max(seen) OVER w AS s, max(trust) OVER w AS t, count(*) OVER w AS n, count(*) OVER (PARTITION BY k, filled, seen, trust) AS equal FROM a WINDOW w AS (PARTITION BY k))
+SELECT row_id FROM b WHERE n > 1 AND filled = f AND seen = s AND trust = t AND equal = 1""",
+}
