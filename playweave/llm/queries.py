@@ -14,7 +14,7 @@ from playweave.llm import copies, credentials, garble, labels, langid, leakage,
 def p1_mapped(spark: SparkSession, d: str) -> DataFrame:
     """Every label that is to be mapped, with its entry; 0 reports a miss."""
     channels, reference = table(spark, d, "channels"), table(spark, d, "canonical_groups")
-    return labels.map_labels(channels, reference, labels.fit(channels, reference), garble.fit(channels, rounds=0))
+    return labels.map_labels(channels, reference, labels.fit(channels, reference), garble.fit(channels))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -28,7 +28,7 @@ def p1_misses(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     channels = table(spark, d, "channels")
-    bad = garble.garbled(garble.fit(channels, rounds=0))
+    bad = garble.garbled(garble.fit(channels))
     names = channels.select("row_id", "result_id", "name").filter(~bad(F.col("name"), garble.source_cell(channels["source"])))
     return lookalike.alike_pairs(names, "result_id")
 
