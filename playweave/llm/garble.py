@@ -5,15 +5,16 @@ Which swap a source suffered is unknown, so it is a latent variable, learned by
 
 * language model: character bigrams of the columns that are derived from decoded text (keys, cleaned group labels,
   quality labels), counted over all rows and hashed into a table of fixed size (the proven bound of what is collected);
-* E step: every text with a bigram unknown to the model is undone under each swap. A swap is one-to-one on what it
+* E step: every text is undone under each swap. A swap is one-to-one on what it
   reaches, so the likelihood of the text under the swap is the bigram likelihood of the restored text, times the
   probability of the swap in that source. A further hypothesis says that information was lost: the text carries marks of
   damage (replacement characters, control characters, private-use or unassigned characters);
 * M step: the expected number of texts per source and swap gives the new probabilities, and the expected number of times
   that a garbled unit stands for a letter gives the byte-to-letter mapping.
 
-`mapping()` returns that learned table. Restoring undoes the most probable swap on the bytes of the spoiled words. Words
-whose every bigram is known to the model are certainly in order and skip the hypotheses.
+`mapping()` returns that learned table. Restoring undoes the most probable swap on the bytes of the spoiled words. Every
+word beyond ASCII is tested against every swap. A word whose every bigram is known to the model may stand in a spoiled text
+at no cost, so it counts for a swap or not at all, and not for one that leaves no letter or digit of it.
 
 Nulls, empty, blank and pure ASCII texts are never garbled. Texts are taken whole, whatever their length. Equal texts
 get equal results within a source. A restored text is null where nothing is garbled or something was lost.
@@ -25,6 +26,7 @@ import codecs
 import math
 import re
 import unicodedata
+import uuid
 from collections import defaultdict
 from functools import lru_cache
 
@@ -178,12 +180,24 @@ def _count(batches):
     yield pd.DataFrame([(k, c, n) for (k, c), n in cells.items()], columns=["kind", "cell", "n"])
 
 
+_ODDS: dict[str, dict] = {}
+
+
+def _cache_of(token: str) -> dict:
+    """What this process knows of words under a language; it outlives a task, and is held for one language at a time."""
+    if token not in _ODDS:
+        _ODDS.clear()
+        _ODDS[token] = {}
+    return _ODDS[token]
+
+
 class Language:
     """Smoothed character bigrams."""
 
     def __init__(self, unigrams: dict[int, int], bigrams: dict[int, int]):
         self.unigrams, self.bigrams = unigrams, bigrams
         self.total = sum(unigrams.values()) + 1
+        self.token = uuid.uuid4().hex
 
     @staticmethod
     def fit(texts: DataFrame) -> Language:
@@ -229,20 +243,21 @@ class GarbleModel:
         self.language = language
         self.log_prior: dict[int, dict[int, float]] = {}
         self.flat = {i: math.log(PRIOR / len(NAMES)) for i in range(len(NAMES))} | {0: math.log(1 - PRIOR)}
-        self.cache: dict = {}
-
-    def __getstate__(self):
-        return self.__dict__ | {"cache": {}}
 
-    def odds(self, word: str) -> dict[int, tuple[float, str]] | None:
-        """Hypothesis -> (log likelihood against the word as it stands, restored word); null for a word that is certainly in order."""
+    def odds(self, word: str) -> tuple[bool, dict[int, tuple[float, str]]] | None:
+        """(may be spared at no cost, hypothesis -> (log likelihood against the word as it stands, restored word)); null if no swap has to be thought of."""
         if word.isascii():
             return None
-        if (found := self.cache.get(word, 0)) == 0:
-            found = None if not _DAMAGE.search(word) and self.language.known(f" {folded(word)} ") else self._odds(word)
-            if len(self.cache) > 200_000:
-                self.cache.clear()
-            self.cache[word] = found
+        cache = _cache_of(self.language.token)
+        if (found := cache.get(word, 0)) == 0:
+            free, out = not _DAMAGE.search(word) and self.language.known(f" {folded(word)} "), self._odds(word)
+            if free:
+                # Marks are counted as blanks, beside which letters are independent: a word that becomes nothing but marks tells nothing.
+                out = {h: x for h, x in out.items() if x[0] > 0 and any(map(str.isalnum, x[1]))}
+            found = None if free and not out else (free, out)
+            if len(cache) > 200_000:
+                cache.clear()
+            cache[word] = found
         return found
 
     def _odds(self, word: str) -> dict[int, tuple[float, str]]:
@@ -272,7 +287,7 @@ class GarbleModel:
         return out
 
     def posterior(self, text: str, source: int) -> list[tuple[int, float, str]]:
-        """(hypothesis, probability, restored text), the text as it stands first; empty for a text that is certainly in order.
+        """(hypothesis, probability, restored text), the text as it stands first; empty for a text that no swap explains.
 
         A text is judged as a whole, since its source spoiled it in one way, but each of its words may have been spared.
         """
@@ -280,19 +295,19 @@ class GarbleModel:
             return []
         words = _SPLIT.split(text)
         spoiled = [(i, o) for i, w in enumerate(words) if (o := self.odds(w)) is not None]
-        every = {h for _, o in spoiled for h in o}
+        every = {h for _, (_, o) in spoiled for h in o}
         if not every:
             return []
         prior = self.log_prior.get(source, self.flat)
         scores = {0: prior[0]}
         for h in every:
-            scores[h] = prior[h] + sum(math.log(0.2 + 0.8 * math.exp(min(o[h][0], 600.0))) if h in o else math.log(0.2) for _, o in spoiled)
+            scores[h] = prior[h] + sum(math.log(0.2 + 0.8 * math.exp(min(o[h][0], 600.0))) if h in o else 0.0 if free else math.log(0.2) for _, (free, o) in spoiled)
         top = max(scores.values())
         total = sum(math.exp(v - top) for v in scores.values())
         out = []
         for h, v in scores.items():
             restored = list(words)
-            for i, o in spoiled:
+            for i, (_, o) in spoiled:
                 if h in o and o[h][0] > 0:
                     restored[i] = o[h][1]
             out.append((h, math.exp(v - top) / total, "".join(restored)))

@@ -1,6 +1,6 @@
 """Problem 4 beyond small rows: the fitted model in all queries that use it."""
 
-from playweave.llm import queries
+from playweave.llm import garble, queries
 from tests.llm.test_labels_names import corpus, reference
 
 
@@ -15,3 +15,13 @@ def test_one_model_for_all(spark, tmp_path):
     assert {(500, "name"), (500, "group_raw")} <= found
     assert 500 not in {r["row_id"] for r in queries.p1_found(spark, str(tmp_path)).collect()}
     assert queries.p2_found(spark, str(tmp_path)).filter("row_a >= 500").count() == 0
+
+
+def test_full_language_table(spark):
+    """A text is tested against the swaps even if the table holds a count of every bigram; words in order cost a spoiled text nothing."""
+    good, bad = "梧泽购物 澜浦新闻 整点新闻 ", "澜浦新闻 梧泽购物".encode("gb18030").decode("latin-1")
+    c = corpus(spark, [{"row_id": 1, "source": "s", "name": bad}, {"row_id": 4, "source": "s", "name": "四 季 风 光"}, {"row_id": 2, "source": "s", "name": good}, {"row_id": 3, "source": "s", "name": good * 9 + bad}])
+    fitted = garble.Language.fit(garble.language_texts(c))
+    fill = lambda counts, cells: {i: 1 + 200 * counts.get(i, 0) for i in range(cells)}
+    model = garble.GarbleModel(garble.Language(fill(fitted.unigrams, garble.UNIGRAM_CELLS), fill(fitted.bigrams, garble.BIGRAM_CELLS)))
+    assert {r["row_id"]: r["restored"] for r in garble.detect(c, model).filter("row_id < 1000").collect()} == {1: "澜浦新闻 梧泽购物", 3: good * 9 + "澜浦新闻 梧泽购物"}
