@@ -55,8 +55,8 @@ def mirrored(url: Column, hosts: list[str], mirror: str) -> Column:
 
 def safe(url: Column) -> Column:
     """Drop userinfo, fragment and parameters with sensitive names; the rest stays as written."""
-    bare = F.regexp_replace(F.regexp_replace(url, r"#.*$", ""), r"^([A-Za-z][A-Za-z0-9+.\-]*://)[^/?@]*@", "$1")
-    place, query = F.regexp_extract(bare, r"^([^?]*)", 1), F.regexp_extract(bare, r"\?(.*)$", 1)
+    bare = F.regexp_replace(F.regexp_replace(url, r"(?s)#.*\z", ""), r"^([A-Za-z][A-Za-z0-9+.\-]*://)[^/?@]*@", "$1")
+    place, query = F.regexp_extract(bare, r"^([^?]*)", 1), F.regexp_extract(bare, r"(?s)\?(.*)\z", 1)
     kept = F.array_join(F.filter(F.split(query, "&"), lambda p: (p != "") & ~F.regexp_replace(F.lower(F.regexp_extract(p, r"^([^=]*)", 1)), "[^a-z0-9]", "").isin(SENSITIVE_NAMES)), "&")
     return F.when(kept != "", F.concat(place, F.lit("?"), kept)).otherwise(place)
 

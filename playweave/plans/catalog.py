@@ -146,6 +146,12 @@ def safe_url(spark, t):
     return t("channels").filter(~F.col("url").contains("\n")).select("row_id", urls.safe(F.col("url")).alias("url"))
 
 
+@query()
+def safe_url_all(spark, t):
+    """Every row, also those with line feeds and null addresses, which the SQL of safe_url leaves out; blanks at both ends are cut."""
+    return t("channels").select("row_id", urls.safe(urls.trimmed(F.col("url"))).alias("url"))
+
+
 @query("SELECT row_id, CASE WHEN n LIKE '%8k%' THEN '8K' WHEN regexp_matches(n, '4k|uhd') THEN '4K' WHEN regexp_matches(n, '超高清|超清') THEN '超清' WHEN regexp_matches(n, '1080p|fhd') THEN '1080P' WHEN regexp_matches(n, '720p') THEN '720P' WHEN regexp_matches(n, '高清|hd') THEN '高清' WHEN n LIKE '%标清%' THEN '标清' ELSE '' END AS label FROM (SELECT row_id, lower(name) AS n FROM channels WHERE name IS NOT NULL)")
 def quality_label(spark, t):
     return t("channels").filter("name IS NOT NULL").select("row_id", text.quality(F.col("name")).alias("label"))
