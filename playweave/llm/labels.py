@@ -97,6 +97,7 @@ class Dictionary:
                     self.forms.append((letters, i, allowed))
                     for d in deletions(letters, allowed):
                         self.index.setdefault(d, []).append(len(self.forms) - 1)
+        self.longest = max((len(x[0]) for x in self.forms), default=0)
 
     def __getstate__(self):
         return self.__dict__ | {"cache": {}}
@@ -114,8 +115,8 @@ class Dictionary:
     def _look_up(self, label: str) -> int:
         best: tuple = (99.0,)
         for step, w in enumerate(forms(label)):
-            if len(w) > 64:
-                # No reference form comes near; deletions of a long text are not built. Its words are not searched for.
+            if len(w) > self.longest + 2:
+                # No reference form is within two edits; deletions of a long text are not built. Its words are not searched for.
                 continue
             near = {k for d in deletions(w, 0 if len(w) < 3 else 1 if len(w) < 7 else 2) for k in self.index.get(d, ())}
             for k in near:
