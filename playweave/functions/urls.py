@@ -43,7 +43,7 @@ def strip_proxy(url: Column, prefixes: list[str]) -> Column:
     """Cut the first fitting proxy prefix, if an absolute address follows it."""
     out = url
     for p in reversed(prefixes):
-        rest = F.substring(url, len(p) + 1, 1 << 20)
+        rest = F.substring(url, F.lit(len(p) + 1), F.length(url))
         out = F.when(url.startswith(p) & rest.rlike("^https?://"), rest).otherwise(out)
     return out
 
