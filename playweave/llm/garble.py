@@ -1,20 +1,30 @@
 """Text that was decoded with the wrong character encoding: finding it and restoring it (problem 4).
 
-A code-page swap (written as W, read as R) is a substitution cipher whose units are the byte groups of one character.
-Which swap a source suffered is unknown, so it is a latent variable, learned by expectation-maximization:
+A code-page swap is a substitution cipher whose units are the byte groups of one character. Which ciphers a source
+suffered, and what their units stand for, are latent and learned by expectation-maximization against the bigrams of text
+that is in order:
 
 * language model: character bigrams of the columns that are derived from decoded text (keys, cleaned group labels,
   quality labels), counted over all rows and hashed into a table of fixed size (the proven bound of what is collected);
-* E step: every text is undone under each swap. A swap is one-to-one on what it
-  reaches, so the likelihood of the text under the swap is the bigram likelihood of the restored text, times the
-  probability of the swap in that source. A further hypothesis says that information was lost: the text carries marks of
-  damage (replacement characters, control characters, private-use or unassigned characters);
-* M step: the expected number of texts per source and swap gives the new probabilities, and the expected number of times
-  that a garbled unit stands for a letter gives the byte-to-letter mapping.
-
-`mapping()` returns that learned table. Restoring undoes the most probable swap on the bytes of the spoiled words. Every
-word beyond ASCII is tested against every swap. A word whose every bigram is known to the model may stand in a spoiled text
-at no cost, so it counts for a swap or not at all, and not for one that leaves no letter or digit of it.
+* tables of known pages: the pairs of WRITTEN and READ give tables to start from, since they show how bytes of several
+  characters are grouped into units. A table of one-character units is applied by translate(); units of several
+  characters are regrouped into bytes and read again, which is the same substitution on longer units;
+* tables learned from nothing but the text (`decipher`): words that neither the language nor a known table explains are
+  reduced, for each source, to counts of neighbouring units. Expectation-maximization over these counts learns which
+  letter each unit stands for: the hidden letters follow the language's bigrams, each letter emits units. It starts from
+  the nearest pairs of single-byte pages and from the units' ranks, and the most likely end wins. A table that explains the source's words far better than they stand becomes one more
+  hypothesis of that source. Where it agrees with a pair of pages, that pair restores the letter case too; where it
+  agrees with none, its texts are found and given back as null, since their exact form is lost;
+* E step: each distinct text of a source is weighed under each table: the bigram likelihood of the restored text, times
+  the table's probability in the source. A further hypothesis says that information was lost: the text carries
+  marks of damage (replacement, control, private-use or unassigned characters). M step: expected numbers of texts give the new
+  probabilities. The likelihoods are computed once and written down; the steps are repeated until they settle.
+
+`mapping()` returns the learned unit-to-letter table. A word in order may stand in a spoiled text at no cost, so it counts for a
+table or not at all, and not for one that leaves no letter or digit of it.
+
+Equal texts, runs of digits apart, are weighed once in a worker. Characters that show nothing and no single- or double-byte page can
+produce take no part in the weighing.
 
 Nulls, empty, blank and pure ASCII texts are never garbled. Texts are taken whole, whatever their length. Equal texts
 get equal results within a source. A restored text is null where nothing is garbled or something was lost.
@@ -23,6 +33,7 @@ get equal results within a source. A restored text is null where nothing is garb
 from __future__ import annotations
 
 import codecs
+import encodings.aliases
 import math
 import re
 import unicodedata
@@ -30,12 +41,13 @@ import uuid
 from collections import defaultdict
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playweave.common import is_blank, letters_digits, small_rows
+from playweave.common import is_blank, letters_digits, materialize, small_rows
 from playweave.llm.lookalike import reshaped
 
 #: Encodings that text is written in, and those it may wrongly be read in. latin is Windows-1252 with Latin-1's controls.
@@ -45,11 +57,14 @@ READ = ["latin", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r", "cp866", "gb
 TWICE = "utf-8>latin>latin"
 #: The 27 characters of Windows-1252 outside Latin-1, with their bytes.
 CP1252 = {bytes([b]).decode("cp1252"): b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+CHARACTER = {b: c for c, b in CP1252.items()}
 UNIGRAM_CELLS, BIGRAM_CELLS = 1 << 16, 1 << 18
 #: Log odds by which a swap must beat the text as it stands.
 MARGIN = 1.0
 #: Log probability of a damaged character under the hypothesis that information was lost.
 DAMAGED = -1.0
+#: A word is no text of the language if it is less likely than characters drawn evenly from so many: those of single-byte pages, those of East Asian pages.
+NOISE, NOISE_EAST = math.log(256), math.log(1 << 14)
 SOURCE_CELLS = 4096
 PRIOR = 0.04
 
@@ -57,7 +72,10 @@ _TO_LATIN = str.maketrans({c: chr(b) for c, b in CP1252.items()})
 _INVISIBLE = re.compile("[­͏ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯︀-️﻿]")
 _ENCLOSED = re.compile("[①-⓿㈀-㏿⒈-⒛]")
 _CONFUSABLE = re.compile("[Ͱ-Ͽἀ-῿Ѐ-ԯµ\U0001d400-\U0001d7ff]")
-_SPLIT = re.compile("([ \\-|/]+)")
+_SPLIT = re.compile("([ \\-|/\u2000-\u200a\u202f\u205f]+)")
+_DIGITS = re.compile("[0-9]{2,}")
+#: What shows nothing and cannot come from a page of one or two bytes.
+_UNSEEN = re.compile("[\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufe00-\ufe0f\ufeff]")
 _DAMAGE = re.compile("[\x80-\x9f�-\U000f0000-\U0010ffff]")
 
 
@@ -133,7 +151,50 @@ def _undo(runs: list[str | bytes], written: str) -> str | None:
 
 SWAPS: list[tuple[str, str]] = [(w, r) for r in READ for w in WRITTEN if w != r]
 NUMBER = {x: i for i, x in enumerate(SWAPS, 3)}
-NAMES = ["none", "lost", TWICE, *(f"{w}>{r}" for w, r in SWAPS)]
+NAMES = ["none", "lost", TWICE, *(f"{w}>{r}" for w, r in SWAPS), "learned"]
+LEARNED = len(NAMES) - 1
+SINGLE_BYTE = {"latin", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r", "cp866"}
+
+
+def page(name: str) -> dict[int, str]:
+    """Byte -> character of the upper half of a single-byte page."""
+    out = {}
+    for b in range(0x80, 0x100):
+        try:
+            out[b] = bytes([b]).decode("cp1252" if name == "latin" else name)
+        except UnicodeDecodeError:
+            if name == "latin":
+                out[b] = chr(b)
+    return out
+
+
+def substitution(written: dict[int, str], read: dict[int, str]) -> dict[int, str]:
+    """A translate() table from what was read to what was written; a byte that nobody writes becomes U+FFFD."""
+    return {ord(ch): written.get(b, "\ufffd") for b, ch in read.items()}
+
+
+TABLES = {NUMBER[w, r]: substitution(page(w), page(r)) for w, r in SWAPS if w in SINGLE_BYTE and r in SINGLE_BYTE}
+
+
+@lru_cache(maxsize=1)
+def single_byte_pages() -> dict[str, dict[int, str]]:
+    """Every single-byte page of the standard library that leaves ASCII as it is and has letters in its upper half."""
+    out = {}
+    for name in sorted(set(encodings.aliases.aliases.values())):
+        try:
+            if bytes(range(32, 127)).decode(name) != bytes(range(32, 127)).decode("ascii"):
+                continue
+            upper = page(name)
+        except (LookupError, UnicodeError, ValueError):
+            continue
+        if sum(len(c) == 1 and c.isalpha() for c in upper.values()) >= 40:
+            out[name] = upper
+    return out
+
+
+def normal(text: str) -> str:
+    """The text as it is weighed: runs of digits alike, without characters that show nothing and that no page produces."""
+    return _DIGITS.sub("00", _UNSEEN.sub("", text))
 
 
 @lru_cache(maxsize=1 << 17)
@@ -197,6 +258,7 @@ class Language:
     def __init__(self, unigrams: dict[int, int], bigrams: dict[int, int]):
         self.unigrams, self.bigrams = unigrams, bigrams
         self.total = sum(unigrams.values()) + 1
+        self.steps: dict[str, float] = {}
         self.token = uuid.uuid4().hex
 
     @staticmethod
@@ -209,6 +271,9 @@ class Language:
             both[kind][int(cell)] = int(n)
         return Language(*both)
 
+    def __getstate__(self):
+        return self.__dict__ | {"steps": {}}
+
     def known(self, t: str) -> bool:
         """Every bigram of letters of a folded text, and every letter beside a digit or blank, occurs in the model."""
         bi, uni = self.bigrams, self.unigrams
@@ -221,48 +286,69 @@ class Language:
                     return False
         return True
 
+    def step(self, pair: str) -> float:
+        """Log probability of a character after another. Beside digits and blanks letters are independent."""
+        x, y = pair
+        base = (self.unigrams.get(ord(y) % UNIGRAM_CELLS, 0) or 0.05 * self.total / (self.total + 60_000)) / self.total
+        if x in " 0" or y in " 0":
+            out = math.log(base)
+        else:
+            out = math.log((self.bigrams.get(_cell(x, y), 0) + 3.0 * base) / (self.unigrams.get(ord(x) % UNIGRAM_CELLS, 0) + 3.0))
+        if len(self.steps) > 500_000:
+            self.steps.clear()
+        self.steps[pair] = out
+        return out
+
     def log_p(self, t: str, least: float = -math.inf) -> float:
-        """Log probability of a folded text; -inf as soon as it is below `least`. Beside digits and blanks letters are independent."""
-        out, uni, bi, total = 0.0, self.unigrams, self.bigrams, self.total
-        log = math.log
-        for x, y in zip(t, t[1:], strict=False):
-            base = (uni.get(ord(y) % UNIGRAM_CELLS, 0) or 0.05 * total / (total + 60_000)) / total
-            if x in " 0" or y in " 0":
-                out += log(base)
-            else:
-                out += log((bi.get(_cell(x, y), 0) + 3.0 * base) / (uni.get(ord(x) % UNIGRAM_CELLS, 0) + 3.0))
+        """Log probability of a folded text; -inf as soon as it is below `least`."""
+        out, known = 0.0, self.steps.get
+        for i in range(len(t) - 1):
+            pair = t[i : i + 2]
+            p = known(pair)
+            out += self.step(pair) if p is None else p
             if out < least:
                 return -math.inf
         return out
 
 
 class GarbleModel:
-    """Language bigrams and the probabilities of the swaps of each source."""
+    """Language bigrams, the probabilities of the swaps of each source, and the tables learned for each source."""
 
     def __init__(self, language: Language):
         self.language = language
         self.log_prior: dict[int, dict[int, float]] = {}
         self.flat = {i: math.log(PRIOR / len(NAMES)) for i in range(len(NAMES))} | {0: math.log(1 - PRIOR)}
+        #: source cell -> (translate() table, whether it restores exactly)
+        self.learned: dict[int, tuple[dict[int, str], bool]] = {}
+        self.decided: dict[tuple[int, str], int] = {}
+
+    def __getstate__(self):
+        return self.__dict__ | {"decided": {}}
 
-    def odds(self, word: str) -> tuple[bool, dict[int, tuple[float, str]]] | None:
-        """(may be spared at no cost, hypothesis -> (log likelihood against the word as it stands, restored word)); null if no swap has to be thought of."""
+    def odds(self, word: str) -> tuple[bool, dict[int, float], bool] | None:
+        """(may be spared at no cost, known table -> log likelihood against the word as it stands, explained by nothing); null if no table has to be thought of."""
         if word.isascii():
             return None
         cache = _cache_of(self.language.token)
         if (found := cache.get(word, 0)) == 0:
             free, out = not _DAMAGE.search(word) and self.language.known(f" {folded(word)} "), self._odds(word)
+            stands = self.stands(word)
+            alien = stands < -noise(word) and all(stands + x[0] < -noise(x[1]) for x in out.values())
             if free:
                 # Marks are counted as blanks, beside which letters are independent: a word that becomes nothing but marks tells nothing.
                 out = {h: x for h, x in out.items() if x[0] > 0 and any(map(str.isalnum, x[1]))}
-            found = None if free and not out else (free, out)
+            found = None if free and not out else (free, {h: x[0] for h, x in out.items()}, alien)
             if len(cache) > 200_000:
                 cache.clear()
             cache[word] = found
         return found
 
+    def stands(self, word: str) -> float:
+        """Log likelihood of a word as it stands, or as what it may be a disguise of."""
+        return max(self.language.log_p(f" {folded(v)} ") for v in _variants(word))
+
     def _odds(self, word: str) -> dict[int, tuple[float, str]]:
-        log_p = self.language.log_p
-        stands = max(log_p(f" {folded(v)} ") for v in _variants(word))
+        log_p, stands = self.language.log_p, self.stands(word)
         out: dict[int, tuple[float, str]] = {}
         best, seen = stands, {word}
         if marks := len(_DAMAGE.findall(word)) + sum(1 for ch in word if ch > "\u02ff" and unicodedata.category(ch) == "Cn"):
@@ -272,56 +358,114 @@ class GarbleModel:
             nonlocal best
             if restored is not None and restored not in seen:
                 seen.add(restored)
-                if (ll := log_p(f" {folded(restored)} ", best - 12.0)) > best - 12.0:
+                form = folded(restored)
+                if form.count(" ") * 2 > len(form) and any(map(str.isalnum, form)):
+                    # Letters between marks everywhere are no text; marks alone may be.
+                    return
+                if (ll := log_p(f" {form} ", best - 12.0)) > best - 12.0:
                     out[h] = (ll - stands, restored)
                     best = max(best, ll)
 
         for r in READ:
             runs = _runs(word, r)
             for w in WRITTEN if runs else ():
-                if w == r or (restored := _undo(runs, w)) is None:
+                if w == r or (restored := _table(word, NUMBER[w, r]) if (w, r) in NUMBER and NUMBER[w, r] in TABLES else _undo(runs, w)) is None:
                     continue
                 try_(NUMBER[w, r], restored)
                 if r == "latin" and w == "utf-8" and (twice := _runs(restored, r)):
                     try_(2, _undo(twice, w))
         return out
 
-    def posterior(self, text: str, source: int) -> list[tuple[int, float, str]]:
-        """(hypothesis, probability, restored text), the text as it stands first; empty for a text that no swap explains.
+    def undo(self, word: str, h: int, source: int) -> str:
+        """A word as it was before the swap h."""
+        if h == LEARNED:
+            return word.translate(self.learned[source][0])
+        if h in TABLES:
+            return _table(word, h) or word
+        w, r = ("utf-8", "latin") if h == 2 else SWAPS[h - 3]
+        restored = _undo(_runs(word, r) or [word], w) or word
+        return (_undo(_runs(restored, r) or [restored], w) or restored) if h == 2 else restored
+
+    def scores(self, text: str, source: int) -> dict[int, float]:
+        """Table -> log likelihood ratio of a normal text against the text as it stands; empty if no table explains it.
 
         A text is judged as a whole, since its source spoiled it in one way, but each of its words may have been spared.
         """
         if text.isascii():
+            return {}
+        spoiled = [(w, o) for w in _SPLIT.split(text) if (o := self.odds(w)) is not None]
+        if source in self.learned:
+            table = self.learned[source][0]
+            spoiled = [(w, (free, o | {LEARNED: gain} if (gain := self.gain(w, table)) is not None and (gain > 0 or not free) else o, alien)) for w, (free, o, alien) in spoiled]
+        every = {h for _, (_, o, _) in spoiled for h in o}
+        return {h: sum(math.log(0.2 + 0.8 * math.exp(min(o[h], 600.0))) if h in o else 0.0 if free else math.log(0.2) for _, (free, o, _) in spoiled) for h in every}
+
+    def gain(self, word: str, table: dict[int, str]) -> float | None:
+        """Log likelihood ratio of a word under a learned table; null if the table changes nothing or has no letter for something."""
+        restored = word.translate(table)
+        return None if restored == word or "\ufffd" in restored else self.language.log_p(f" {folded(restored)} ") - self.stands(word)
+
+    def posterior(self, text: str, source: int) -> list[tuple[int, float]]:
+        """(hypothesis, probability) of a normal text, the text as it stands first; empty for a text that no table explains."""
+        scores = self.scores(text, source)
+        if not scores:
             return []
+        return _weigh(scores, self.log_prior.get(source, self.flat))
+
+    def hypothesis(self, text: str, source: int) -> int:
+        """The table that spoiled a text, or 0."""
+        key = (source if source in self.log_prior else -1, normal(text))
+        if (found := self.decided.get(key)) is None:
+            after, found = self.posterior(key[1], source), 0
+            if after:
+                h, p = max(after[1:], key=lambda x: x[1])
+                if p > 0 and math.log(p / max(after[0][1], 1e-300)) >= MARGIN:
+                    found = h
+            if len(self.decided) > 200_000:
+                self.decided.clear()
+            self.decided[key] = found
+        return found
+
+    def restore(self, text: str, h: int, source: int) -> str | None:
+        """The text as it was, null if that is lost."""
+        if h == 1 or h == LEARNED and not self.learned[source][1]:
+            return None
         words = _SPLIT.split(text)
-        spoiled = [(i, o) for i, w in enumerate(words) if (o := self.odds(w)) is not None]
-        every = {h for _, (_, o) in spoiled for h in o}
-        if not every:
-            return []
-        prior = self.log_prior.get(source, self.flat)
-        scores = {0: prior[0]}
-        for h in every:
-            scores[h] = prior[h] + sum(math.log(0.2 + 0.8 * math.exp(min(o[h][0], 600.0))) if h in o else 0.0 if free else math.log(0.2) for _, (free, o) in spoiled)
-        top = max(scores.values())
-        total = sum(math.exp(v - top) for v in scores.values())
-        out = []
-        for h, v in scores.items():
-            restored = list(words)
-            for i, (_, o) in spoiled:
-                if h in o and o[h][0] > 0:
-                    restored[i] = o[h][1]
-            out.append((h, math.exp(v - top) / total, "".join(restored)))
-        return out
+        for i, w in enumerate(words):
+            if not w.isascii():
+                weighed = normal(w)
+                gain = self.gain(weighed, self.learned[source][0]) if h == LEARNED else (self.odds(weighed) or (False, {}, False))[1].get(h)
+                if gain is not None and gain > 0:
+                    words[i] = self.undo(w, h, source)
+                    if self.language.log_p(f" {folded(normal(words[i]))} ") < -noise(normal(words[i])):
+                        # Likelier than what stands there, but no text either: the true swap is another one.
+                        return None
+        restored = "".join(words)
+        return None if "\ufffd" in restored or _DAMAGE.search(restored) else restored
 
     def decide(self, text: str, source: int) -> tuple[bool, str | None, str | None]:
         """(is garbled, name of the swap, restored text)."""
-        after = self.posterior(text, source)
-        if not after:
-            return False, None, None
-        h, p, restored = max(after[1:], key=lambda x: x[1])
-        if p <= 0 or math.log(p / max(after[0][1], 1e-300)) < MARGIN:
+        if text.isascii() or not (h := self.hypothesis(text, source)):
             return False, None, None
-        return True, NAMES[h], None if h == 1 or "�" in restored or _DAMAGE.search(restored) else restored
+        return True, NAMES[h], self.restore(text, h, source)
+
+
+def noise(word: str) -> float:
+    """Cost in nats of a word of evenly drawn characters, and a little more: what costs more than that is no text of the language."""
+    return 2.0 + sum(NOISE_EAST if ch >= "\u2e80" else NOISE for ch in word) + NOISE
+
+
+def _weigh(scores: dict[int, float], prior: dict[int, float]) -> list[tuple[int, float]]:
+    weights = {0: prior[0]} | {h: prior[h] + v for h, v in scores.items()}
+    top = max(weights.values())
+    total = sum(math.exp(v - top) for v in weights.values())
+    return [(h, math.exp(v - top) / total) for h, v in weights.items()]
+
+
+def _table(word: str, h: int) -> str | None:
+    """A word under a table of one-character units; null if a unit has no letter."""
+    restored = word.translate(TABLES[h])
+    return None if "\ufffd" in restored else restored
 
 
 def source_cell(source: Column) -> Column:
@@ -342,32 +486,204 @@ def texts_of(channels: DataFrame, fields: list[str]) -> DataFrame:
     return rows.filter(F.col("text").rlike(r"[^\x00-\x7F]") & ~is_blank(F.col("text")))
 
 
-def _expect(model: GarbleModel):
+#: Learned tables: nats that a table must gain on each neighbouring pair of units, and pairs that it must be learned from.
+LEAST_GAIN, LEAST_PAIRS = 1.0, 60
+#: Nats a pair by which a pair of pages may fall short of a learned table and still be taken for it.
+NEAR_PAGES = 0.3
+
+
+def _alien_pairs(model: GarbleModel):
+    """(cell, pair, n): neighbouring units of the words that neither the language nor a known table explains."""
+
+    def run(batches):
+        sums: dict[tuple[int, str], int] = defaultdict(int)
+        for b in batches:
+            for cell, text, n in zip(b["cell"], b["text"], b["n"], strict=True):
+                for word in _SPLIT.split(text):
+                    # Single-byte pages have nothing beyond the East Asian marks.
+                    odds = None if word.isascii() or max(word) >= "\u3000" or _DAMAGE.search(word) else model.odds(word)
+                    if odds is not None and odds[2]:
+                        units = " " + "".join(ch.lower() if ch.isascii() else ch for ch in word if ch.isalpha() or not ch.isascii()) + " "
+                        for i in range(len(units) - 1):
+                            sums[cell, units[i : i + 2]] += n
+        yield pd.DataFrame([(c, p, n) for (c, p), n in sums.items()], columns=["cell", "pair", "n"])
+
+    return run
+
+
+def decipher(pairs: dict[str, int], language: Language, rounds: int = 40) -> tuple[dict[str, str], float] | None:
+    """(unit -> letter, nats gained on each pair): the substitution that makes counts of neighbouring units likely.
+
+    Expectation-maximization of a hidden-letter model: P(x, y) = sum over letters a, b of P(a, b) P(x | a) P(y | b), where
+    P(a, b) is the language's and the emissions P(x | a) are learned. ASCII letters and the ends of words stand for themselves.
+    """
+    units = sorted({ch for p in pairs for ch in p if not ch.isascii()})
+    fixed = [" ", *(chr(c) for c in range(97, 123))]
+    letters = fixed + [ch for c in sorted(language.unigrams) if 0x80 <= c < 0x3000 and (ch := chr(c)).isalpha()]
+    if not units or sum(pairs.values()) < LEAST_PAIRS or len(letters) == len(fixed):
+        return None
+    number = {ch: i for i, ch in enumerate([*fixed, *units])}
+    known = [(p, n) for p, n in pairs.items() if p[0] in number and p[1] in number]
+    left, right = (np.array([number[p[k]] for p, _ in known]) for k in (0, 1))
+    n = np.array([c for _, c in known], float)
+    base = np.array([language.unigrams.get(ord(a), 0) + 0.01 for a in letters])
+    base /= base.sum()
+    follows = np.exp([[language.step(a + b) for b in letters] for a in letters])
+    joint = base[:, None] * follows
+    joint /= joint.sum()
+    f, m = len(fixed), len(letters) - len(fixed)
+    share = np.bincount(np.concatenate([left, right]), np.concatenate([n, n]), len(number))[f:]
+
+    def learn(start: np.ndarray) -> tuple[float, np.ndarray]:
+        """From P(letter | unit) to a (log likelihood, expected counts of unit and letter) that no longer rises."""
+        emit = np.zeros((len(number), len(letters)))
+        emit[:f, :f] = np.eye(f)
+        expected, before = start * share[:, None], -math.inf
+        for _ in range(rounds):
+            emit[f:, f:] = (expected + 1e-6) / (expected + 1e-6).sum(axis=0)
+            u, v = emit[left], emit[right]
+            after, ahead = v @ joint.T, u @ joint
+            z = (u * after).sum(axis=1) + 1e-300
+            weight = (n / z)[:, None]
+            counts = np.zeros_like(emit)
+            np.add.at(counts, left, u * after * weight)
+            np.add.at(counts, right, v * ahead * weight)
+            expected, likely = counts[f:, f:], float(n @ np.log(z))
+            if likely - before < 1e-4 * abs(likely):
+                break
+            before = likely
+        return likely, expected
+
+    def by_pages(table: dict[int, str]) -> np.ndarray:
+        start = np.full((len(units), m), 0.1 / m)
+        for i, x in enumerate(units):
+            if (a := table.get(ord(x), "").lower()) in place:
+                start[i, place[a]] += 0.9
+        return start
+
+    place = {a: i for i, a in enumerate(letters[f:])}
+    ranks = np.full((len(units), m), 0.5 / m)
+    for i, x in enumerate(np.argsort(-share, kind="stable")):
+        ranks[x, np.argsort(-base[f:], kind="stable")[min(i, m - 1)]] += 0.5
+    ends = [learn(start) for start in [*(by_pages(t) for t in nearest_pages(pairs, language)), ranks]]
+    _, expected = max(ends, key=lambda x: x[0])
+    table = {x: letters[f + int(expected[i].argmax())] for i, x in enumerate(units)}
+    return table, _gain(dict(known), {ord(x): a for x, a in table.items()}, language)
+
+
+def _pairs_of_pages(units: dict[str, int]):
+    """(written, read, translate() table) of the single-byte pages whose reader has the units."""
+    total = sum(units.values())
+    for r, read in single_byte_pages().items():
+        if sum(c for x, c in units.items() if x in set(read.values())) >= 0.95 * total:
+            for w, written in single_byte_pages().items():
+                if w != r:
+                    yield w, r, substitution(written, read)
+
+
+def _units(pairs: dict[str, int]) -> dict[str, int]:
+    out: dict[str, int] = defaultdict(int)
+    for p, n in pairs.items():
+        for ch in p:
+            if not ch.isascii():
+                out[ch] += n
+    return out
+
+
+def nearest_pages(pairs: dict[str, int], language: Language, most: int = 4) -> list[dict[int, str]]:
+    """The tables of the page pairs under which the units' counts are likeliest: the places that learning starts from."""
+    scored = []
+    for k, (_, _, table) in enumerate(_pairs_of_pages(_units(pairs))):
+        scored.append((sum(n * language.step(t) for p, n in pairs.items() if len(t := p.translate(table).lower()) == 2), -k, table))
+    return [t for _, _, t in sorted(scored, key=lambda x: x[:2], reverse=True)[:most]]
+
+
+def learn_table(pairs: dict[str, int], language: Language) -> tuple[dict[int, str], bool] | None:
+    """(translate() table, whether it restores exactly) of one source, or null if nothing that can be relied on was learned."""
+    learned = decipher(pairs, language)
+    if learned is None or learned[1] < LEAST_GAIN:
+        return None
+    for table in nearest_pages(pairs, language, 1):
+        if _gain(pairs, table, language) >= learned[1] - NEAR_PAGES:
+            return table, True
+    return {ord(x): a for x, a in learned[0].items()}, False
+
+
+def _gain(pairs: dict[str, int], table: dict[int, str], language: Language) -> float:
+    """Nats that a translate() table gains on each pair of units."""
+    after = [(n, p, t) for p, n in pairs.items() if len(t := p.translate(table).lower()) == 2]
+    return sum(n * (language.step(t) - language.step(p.lower())) for n, p, t in after) / max(1, sum(pairs.values()))
+
+
+def _score(model: GarbleModel):
+    """(cell, n, h, score) of the distinct texts; a text that no table explains has no h."""
+
+    def run(batches):
+        for b in batches:
+            out: dict[tuple, int] = defaultdict(int)
+            for cell, text, n in zip(b["cell"], b["text"], b["n"], strict=True):
+                scores = model.scores(text, cell)
+                out[cell, tuple(scores), tuple(round(x, 3) for x in scores.values())] += n
+            yield pd.DataFrame([(c, n, list(h), list(v)) for (c, h, v), n in out.items()], columns=["cell", "n", "h", "score"])
+
+    return run
+
+
+def _expect(log_prior: dict[int, dict[int, float]], flat: dict[int, float]):
     def run(batches):
         sums: dict[tuple[int, int], float] = defaultdict(float)
         for b in batches:
-            for cell, text in zip(b["cell"], b["text"], strict=True):
-                for h, p, _ in model.posterior(text, cell) or [(0, 1.0, "")]:
+            for cell, n, hs, scores in zip(b["cell"], b["n"], b["h"], b["score"], strict=True):
+                for h, p in _weigh(dict(zip(hs, scores, strict=True)), log_prior.get(cell, flat)):
                     if p > 1e-6:
-                        sums[cell, h] += p
+                        sums[cell, int(h)] += p * n
         yield pd.DataFrame([(c, h, p) for (c, h), p in sums.items()], columns=["cell", "h", "p"])
 
     return run
 
 
-def fit(channels: DataFrame, rounds: int = 1, fields: tuple[str, ...] = ("name", "group_raw")) -> GarbleModel:
-    """Learn the language and the swaps. What is collected: the hashed bigrams, and SOURCE_CELLS x len(NAMES) sums."""
+@F.pandas_udf(T.StringType())
+def _normal(texts: pd.Series) -> pd.Series:
+    return texts.map(normal)
+
+
+def fit(channels: DataFrame, rounds: int = 12, fields: tuple[str, ...] = ("name", "group_raw")) -> GarbleModel:
+    """Learn the language, the tables and their probabilities in each source; rounds=0 leaves out all expectation-maximization.
+
+    What is collected: the hashed bigrams, the tables of at most SOURCE_CELLS sources, and SOURCE_CELLS x len(NAMES) sums.
+    The rounds end as soon as less than a thousandth of the texts changes its explanation.
+    """
     model = GarbleModel(Language.fit(language_texts(channels)))
-    rows = texts_of(channels, list(fields)).select("cell", "text")
+    if not rounds:
+        return model
+    # Copies of a text are no further evidence: each distinct text of a source counts once.
+    rows = texts_of(channels, list(fields)).select("cell", "text").distinct().select("cell", _normal("text").alias("text")).distinct()
+    rows = materialize(rows.withColumn("n", F.lit(1).cast("bigint")), "garble-texts")
+    language = model.language
+
+    def learn(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        found = learn_table(dict(zip(pdf["pair"], pdf["n"].astype(int), strict=True)), language)
+        return pd.DataFrame([(int(key[0]), x, a, found[1]) for x, a in found[0].items()] if found else [], columns=["cell", "unit", "letter", "exact"])
+
+    pairs = rows.mapInPandas(_alien_pairs(model), "cell int, pair string, n bigint").groupBy("cell", "pair").agg(F.sum("n").alias("n"))
+    for r in pairs.groupBy("cell").applyInPandas(learn, "cell int, unit int, letter string, exact boolean").toLocalIterator():
+        model.learned.setdefault(r["cell"], ({}, r["exact"]))[0][r["unit"]] = r["letter"]
+    scores = materialize(rows.mapInPandas(_score(model), "cell int, n bigint, h array<int>, score array<double>").groupBy("cell", "h", "score").agg(F.sum("n").alias("n")), "garble-scores")
+    before: dict[int, dict[int, float]] = {}
     for _ in range(rounds):
-        sums = rows.mapInPandas(_expect(model), "cell int, h int, p double").groupBy("cell", "h").agg(F.sum("p").alias("p"))
+        sums = scores.mapInPandas(_expect(model.log_prior, model.flat), "cell int, h int, p double").groupBy("cell", "h").agg(F.sum("p").alias("p"))
         by: dict[int, dict[int, float]] = defaultdict(dict)
         for r in small_rows(sums, SOURCE_CELLS * len(NAMES)):
             by[r["cell"]][r["h"]] = r["p"]
         for cell, own in by.items():
             # A Dirichlet prior of 50 texts keeps rare swaps possible in small sources.
             total = sum(own.values()) + 50.0
-            model.log_prior[cell] = {h: math.log((own.get(h, 0.0) + 50.0 * math.exp(model.flat[h])) / total) for h in range(len(NAMES))}
+            # One text is taken off each swap's number, so that no text is evidence for itself.
+            model.log_prior[cell] = {h: math.log((max(0.0, own.get(h, 0.0) - (h > 0)) + 50.0 * math.exp(model.flat[h])) / total) for h in range(len(NAMES))}
+        moved = sum(abs(p - before.get(c, {}).get(h, 0.0)) for c, own in by.items() for h, p in own.items() if h)
+        if moved <= 1e-3 * sum(p for own in by.values() for h, p in own.items() if h):
+            break
+        before = by
     return model
 
 
@@ -391,28 +707,43 @@ def garbled(model: GarbleModel):
 
     @F.pandas_udf(T.BooleanType())
     def run(texts: pd.Series, cells: pd.Series) -> pd.Series:
-        return pd.Series([t is not None and not t.isascii() and model.decide(t, c)[0] for t, c in zip(texts, cells, strict=True)], dtype=bool)
+        return pd.Series([t is not None and not t.isascii() and model.hypothesis(t, c) > 0 for t, c in zip(texts, cells, strict=True)], dtype=bool)
 
     return run
 
 
 def mapping(channels: DataFrame, model: GarbleModel) -> DataFrame:
-    """(swap, unit, letter, expected): the byte-to-letter table that EM learned, as expected counts of each garbled unit's letter."""
+    """(swap, unit, letter, expected): the unit-to-letter table that was learned, as expected counts of each garbled unit's letter."""
+
+    def unit_of(h: int, letter: str, text: str) -> str | None:
+        """What stands for a letter in a garbled text: bytes beyond Latin-1's letters are read as Windows-1252 or as controls."""
+        w, r = ("utf-8", "latin") if h == 2 else SWAPS[h - 3]
+        try:
+            raw = letter.encode("cp1252" if w == "latin" else w)
+            if r != "latin":
+                return raw.decode(r)
+            for _ in range(h == 2):
+                raw = raw.decode("latin-1").encode()
+            forms = ("".join(CHARACTER.get(x, chr(x)) for x in raw), raw.decode("latin-1"))
+            return next((u for u in forms if u in text), None)
+        except UnicodeError:
+            return None
 
     def run(batches):
         sums: dict[tuple[str, str, str], float] = defaultdict(float)
         for b in batches:
             for cell, text in zip(b["cell"], b["text"], strict=True):
-                for h, p, restored in model.posterior(text, cell):
-                    if h > 2 and p > 0.01 and "�" not in restored:
-                        w, r = SWAPS[h - 3]
-                        for letter in restored:
-                            if not letter.isascii():
-                                try:
-                                    raw = letter.encode("cp1252" if w == "latin" else w)
-                                    unit = "".join(chr(x) for x in raw) if r == "latin" else raw.decode(r)
-                                except UnicodeError:
-                                    continue
+                for h, p in model.posterior(normal(text), cell):
+                    if h < 2 or p <= 0.01:
+                        continue
+                    if h == LEARNED:
+                        table = model.learned[cell][0]
+                        for ch in text:
+                            if ord(ch) in table:
+                                sums[NAMES[h], ch, table[ord(ch)]] += p
+                    else:
+                        for letter in model.restore(text, h, cell) or "":
+                            if not letter.isascii() and (unit := unit_of(h, letter, text)) is not None:
                                 sums[NAMES[h], unit, letter] += p
             if len(sums) > 100_000:
                 yield pd.DataFrame([(*k, v) for k, v in sums.items()], columns=["swap", "unit", "letter", "expected"])

@@ -140,7 +140,7 @@ def map_labels(channels: DataFrame, reference: DataFrame, dictionary: Dictionary
 
     @F.pandas_udf(T.IntegerType())
     def entry(labels: pd.Series, cells: pd.Series) -> pd.Series:
-        return pd.Series([-1 if not x.isascii() and garble.decide(x, c)[0] else dictionary.look_up(x) for x, c in zip(labels, cells, strict=True)], dtype="int32")
+        return pd.Series([-1 if not x.isascii() and garble.hypothesis(x, c) else dictionary.look_up(x) for x, c in zip(labels, cells, strict=True)], dtype="int32")
 
     entries = F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("label")) for f in FIELDS))
     rows = channels.select("row_id", source_cell(F.col("source")).alias("cell"), F.explode(entries).alias("e")).select("row_id", "cell", "e.*")

@@ -1,5 +1,9 @@
 """Problem 4 beyond small rows: the fitted model in all queries that use it."""
 
+import random
+
+import pytest
+
 from playweave.llm import garble, queries
 from tests.llm.test_labels_names import corpus, reference
 
@@ -25,3 +29,40 @@ def test_full_language_table(spark):
     fill = lambda counts, cells: {i: 1 + 200 * counts.get(i, 0) for i in range(cells)}
     model = garble.GarbleModel(garble.Language(fill(fitted.unigrams, garble.UNIGRAM_CELLS), fill(fitted.bigrams, garble.BIGRAM_CELLS)))
     assert {r["row_id"]: r["restored"] for r in garble.detect(c, model).filter("row_id < 1000").collect()} == {1: "澜浦新闻 梧泽购物", 3: good * 9 + "澜浦新闻 梧泽购物"}
+
+
+def names(n=300, seed=3):
+    rng = random.Random(seed)
+    first, second = ["Озёрник", "Вельдар", "Дальнолуг", "Рябинск", "Зорянка", "Клёново", "Ветрово", "Мирлесье"], ["Спорт", "Новости", "Кухня", "Музыка", "Дорога", "Мульт", "Ночь", "Шахматы", "Лавка", "Путь"]
+    return [f"{rng.choice(first)} {rng.choice(second)}-{rng.randint(1, 999)}" for _ in range(n)]
+
+
+@pytest.mark.parametrize(("written", "read"), [("cp1251", "cp1250"), ("iso8859_5", "cp1251"), ("cp1251", "cp1253")])
+def test_unlisted_pages_are_learned(spark, written, read):
+    """Pages outside the list: expectation-maximization learns the source's letters, finds its texts and gives back what no page has lost."""
+    pairs = []
+    for t in names():
+        try:
+            pairs.append((t, t.encode(written).decode(read)))
+        except UnicodeError:
+            continue
+    rows = [{"row_id": 5000 + i, "source": "odd", "name": g} for i, (_, g) in enumerate(pairs)] + [{"row_id": 9000 + i, "source": "even", "name": t, "channel_key": t.lower()} for i, t in enumerate(names(400, 8))]
+    c = corpus(spark, rows)
+    got = {r["row_id"]: r["restored"] for r in garble.detect(c, garble.fit(c)).filter("row_id >= 5000").collect()}
+    assert len(got) >= 0.97 * len(pairs) and max(got) < 9000
+    assert sum(got.get(5000 + i) == t for i, (t, _) in enumerate(pairs)) >= 0.9 * len(pairs)
+    assert sum(got[i] not in (None, pairs[i - 5000][0]) for i in got) <= 0.02 * len(pairs)
+    off = {r["row_id"]: r["restored"] for r in garble.detect(c, garble.fit(c, rounds=0)).filter("row_id >= 5000").collect()}
+    assert sum(off.get(5000 + i) == t for i, (t, _) in enumerate(pairs)) == 0 and off != got
+
+
+def test_cipher_of_no_page(spark):
+    """A substitution that no pair of pages makes is learned and found; its texts come back as null."""
+    letters = "абвгдеёжзийклмнопрстуфхцчшщъыьэюя"
+    shuffled = list("֏ՠաբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտ")
+    random.Random(1).shuffle(shuffled)
+    table = str.maketrans(dict(zip(letters, shuffled, strict=True)))
+    texts = [t.lower().translate(table) for t in names(600)]
+    c = corpus(spark, [{"row_id": 5000 + i, "source": "odd", "name": g} for i, g in enumerate(texts)] + [{"row_id": 9000 + i, "source": "even", "name": t, "channel_key": t.lower()} for i, t in enumerate(names(400, 8))])
+    got = {r["row_id"]: r["restored"] for r in garble.detect(c, garble.fit(c)).filter("row_id >= 5000").collect()}
+    assert len(got) >= 0.95 * len(texts) and max(got) < 9000 and set(got.values()) == {None}
