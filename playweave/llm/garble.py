@@ -321,9 +321,10 @@ class GarbleModel:
         #: source cell -> (translate() table, whether it restores exactly)
         self.learned: dict[int, tuple[dict[int, str], bool]] = {}
         self.decided: dict[tuple[int, str], int] = {}
+        self.gains: dict[tuple[int, str], float | None] = {}
 
     def __getstate__(self):
-        return self.__dict__ | {"decided": {}}
+        return self.__dict__ | {"decided": {}, "gains": {}}
 
     def odds(self, word: str) -> tuple[bool, dict[int, float], bool] | None:
         """(may be spared at no cost, known table -> log likelihood against the word as it stands, explained by nothing); null if no table has to be thought of."""
@@ -395,15 +396,19 @@ class GarbleModel:
             return {}
         spoiled = [(w, o) for w in _SPLIT.split(text) if (o := self.odds(w)) is not None]
         if source in self.learned:
-            table = self.learned[source][0]
-            spoiled = [(w, (free, o | {LEARNED: gain} if (gain := self.gain(w, table)) is not None and (gain > 0 or not free) else o, alien)) for w, (free, o, alien) in spoiled]
+            spoiled = [(w, (free, o | {LEARNED: gain} if (gain := self.gain(w, source)) is not None and (gain > 0 or not free) else o, alien)) for w, (free, o, alien) in spoiled]
         every = {h for _, (_, o, _) in spoiled for h in o}
         return {h: sum(math.log(0.2 + 0.8 * math.exp(min(o[h], 600.0))) if h in o else 0.0 if free else math.log(0.2) for _, (free, o, _) in spoiled) for h in every}
 
-    def gain(self, word: str, table: dict[int, str]) -> float | None:
-        """Log likelihood ratio of a word under a learned table; null if the table changes nothing or has no letter for something."""
-        restored = word.translate(table)
-        return None if restored == word or "\ufffd" in restored else self.language.log_p(f" {folded(restored)} ") - self.stands(word)
+    def gain(self, word: str, source: int) -> float | None:
+        """Log likelihood ratio of a word under its source's learned table; null if the table changes nothing or has no letter for something."""
+        if (found := self.gains.get((source, word), self)) is self:
+            restored = word.translate(self.learned[source][0])
+            found = None if restored == word or "\ufffd" in restored else self.language.log_p(f" {folded(restored)} ") - self.stands(word)
+            if len(self.gains) > 200_000:
+                self.gains.clear()
+            self.gains[source, word] = found
+        return found
 
     def posterior(self, text: str, source: int) -> list[tuple[int, float]]:
         """(hypothesis, probability) of a normal text, the text as it stands first; empty for a text that no table explains."""
@@ -434,7 +439,7 @@ class GarbleModel:
         for i, w in enumerate(words):
             if not w.isascii():
                 weighed = normal(w)
-                gain = self.gain(weighed, self.learned[source][0]) if h == LEARNED else (self.odds(weighed) or (False, {}, False))[1].get(h)
+                gain = self.gain(weighed, source) if h == LEARNED else (self.odds(weighed) or (False, {}, False))[1].get(h)
                 if gain is not None and gain > 0:
                     words[i] = self.undo(w, h, source)
                     if self.language.log_p(f" {folded(normal(words[i]))} ") < -noise(normal(words[i])):
@@ -487,7 +492,7 @@ def texts_of(channels: DataFrame, fields: list[str]) -> DataFrame:
 
 
 #: Learned tables: nats that a table must gain on each neighbouring pair of units, and pairs that it must be learned from.
-LEAST_GAIN, LEAST_PAIRS = 1.0, 60
+LEAST_GAIN, LEAST_PAIRS, LEAST_PER_UNIT = 1.0, 60, 8
 #: Nats a pair by which a pair of pages may fall short of a learned table and still be taken for it.
 NEAR_PAGES = 0.3
 
@@ -520,7 +525,7 @@ def decipher(pairs: dict[str, int], language: Language, rounds: int = 40) -> tup
     units = sorted({ch for p in pairs for ch in p if not ch.isascii()})
     fixed = [" ", *(chr(c) for c in range(97, 123))]
     letters = fixed + [ch for c in sorted(language.unigrams) if 0x80 <= c < 0x3000 and (ch := chr(c)).isalpha()]
-    if not units or sum(pairs.values()) < LEAST_PAIRS or len(letters) == len(fixed):
+    if not units or sum(pairs.values()) < max(LEAST_PAIRS, LEAST_PER_UNIT * len(units)) or len(letters) == len(fixed):
         return None
     number = {ch: i for i, ch in enumerate([*fixed, *units])}
     known = [(p, n) for p, n in pairs.items() if p[0] in number and p[1] in number]

@@ -69,11 +69,18 @@ def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return survivor.elect(table(spark, d, "channels"), table(spark, d, "source_list")).filter("is_clear").select(F.col("best_row").alias("row_id"))
+    return survivor.elect(table(spark, d, "channels"), table(spark, d, "source_list"), contents=[]).filter("is_clear").select(F.col("best_row").alias("row_id"))
 
 
 def p6_survivors(spark: SparkSession, d: str) -> DataFrame:
-    return survivor.elect(table(spark, d, "channels"), table(spark, d, "source_list")).withColumn("lines", F.array_join("lines", "\n"))
+    """The winning votes of each field of every group; the values themselves are in `p6_values`."""
+    return survivor.elect(table(spark, d, "channels"), table(spark, d, "source_list")).select("key", "records", *(f"{f}_votes" for f in survivor.FIELDS))
+
+
+def p6_values(spark: SparkSession, d: str) -> DataFrame:
+    """One surviving record of each group, put together from the winning values; ties of votes are told apart by a hash, which SQL cannot follow."""
+    out = survivor.elect(table(spark, d, "channels"), table(spark, d, "source_list"))
+    return out.select("key", "records", "logo", "tvg_id", "quality", F.array_join("lines", "\n").alias("lines"), "best_row", "is_clear")
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -96,7 +103,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return langid.found(documents, languages, langid.fit(documents, languages)).select("doc_id", "line_no", "lang")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_mapped, p1_misses, p2_found, p3_found, p3_collapsed, p4_found, p4_restored, p4_mapping, p5_found, p5_redacted, p6_found, p6_survivors, p7_ids, p8_found, p9_found, p9_identified)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_mapped, p1_misses, p2_found, p3_found, p3_collapsed, p4_found, p4_restored, p4_mapping, p5_found, p5_redacted, p6_found, p6_survivors, p6_values, p7_ids, p8_found, p9_found, p9_identified)}
 
 _BLANK = r"[\s\p{Z}\x{0085}\x{200B}\x{FEFF}]"
 _EDGE = r"""[\"''`<>(){}\[\]«»‘-‟〈-】〔-〛（）,.;:!?&|、。，；：！？．]"""
@@ -108,9 +115,28 @@ c AS (SELECT row_id, k, scheme, array_to_string(list_filter(string_split(split_p
   coalesce(array_to_string(list_sort(list_distinct(list_filter(string_split(replace(CASE WHEN contains(rest, '?') THEN replace(regexp_replace(rest, '^[^?]*\?', ''), '&amp;', '&') ELSE '' END, ';', '&'), '&'), lambda x: x <> ''))), '&'), '') AS params FROM b),
 d AS (SELECT row_id, min(row_id) OVER w AS first_id, count(*) OVER w AS copies FROM c WINDOW w AS (PARTITION BY k, scheme, place, params))"""
 _FULL = lambda c: f"CASE WHEN lower(regexp_replace({c}, '^{_BLANK}+|{_BLANK}+$', '', 'g')) NOT IN ({', '.join(repr(x) for x in survivor.STAND_INS)}) THEN 1 ELSE 0 END"
+
+
+def _shown(field: str) -> str:
+    """The form of a content field in SQL, null where it is a stand-in for "no value"."""
+    cut = lambda c: f"regexp_replace({c}, '^{_BLANK}+|{_BLANK}+$', '', 'g')"
+    none = ", ".join(repr(x) for x in survivor.STAND_INS)
+    if field == "lines":
+        return f"CASE WHEN len(lines) > 0 THEN array_to_string(list_sort(list_distinct(list_filter(lines, lambda x: lower({cut('x')}) NOT IN ({none})))), chr(10)) END"
+    return f"CASE WHEN lower({cut(field)}) NOT IN ({none}) THEN {cut(field)} END"
+
+
 SQL: dict[str, str] = {
     "p3_found": f"{_LINES} SELECT first_id AS row_a, row_id AS row_b FROM d WHERE row_id <> first_id",
     "p3_collapsed": f"{_LINES} SELECT row_id, copies FROM d WHERE row_id = first_id",
+    "p6_survivors": rf"""
+WITH t AS (SELECT c.*, s.trust, regexp_replace(lower(c.channel_key), '[^\p{{L}}\p{{N}}]', '', 'g') AS key, epoch_us(c.seen_at) AS us, (SELECT max(epoch_us(seen_at)) FROM channels) AS last FROM channels c LEFT JOIN source_list s ON c.source = s.source WHERE c.channel_key IS NOT NULL),
+v AS (SELECT *, CAST(coalesce(floor(coalesce(trust, 0) * pow(2.0, (us - last) / {survivor.HALF_LIFE_DAYS * 86400e6}) * {survivor.UNIT}), 0) AS BIGINT) AS vote, coalesce(us, {survivor.NEVER}) AS seen FROM t),
+l AS ({" UNION ALL ".join(f"SELECT key, '{f}' AS field, {_shown(f)} AS form, vote, seen FROM v" for f in ("logo", "tvg_id", "quality", "lines"))}),
+w AS (SELECT key, field, lower(form) AS norm, sum(vote) AS votes, max(seen) AS seen FROM l WHERE form IS NOT NULL GROUP BY ALL),
+x AS (SELECT key, field, votes, row_number() OVER (PARTITION BY key, field ORDER BY votes DESC, seen DESC) AS rn FROM w)
+SELECT g.key, g.records, {", ".join(f"CAST(coalesce(max(x.votes) FILTER (WHERE x.field = '{f}'), 0) AS BIGINT) AS {f}_votes" for f in ("logo", "tvg_id", "quality", "lines"))}
+FROM (SELECT key, count(*) AS records FROM t GROUP BY key) g LEFT JOIN x ON x.key = g.key AND x.rn = 1 GROUP BY g.key, g.records""",
     "p6_found": rf"""
 WITH a AS (SELECT c.row_id, regexp_replace(lower(c.channel_key), '[^\p{{L}}\p{{N}}]', '', 'g') AS k, {_FULL("c.logo")} + {_FULL("c.tvg_id")} + {_FULL("c.quality")} + CASE WHEN len(c.lines) > 0 THEN 1 ELSE 0 END AS filled,
   coalesce(epoch_us(c.seen_at), -9000000000000000) AS seen, coalesce(s.trust, -1) AS trust FROM channels c LEFT JOIN source_list s ON c.source = s.source WHERE c.channel_key IS NOT NULL),
