@@ -66,7 +66,7 @@ def test_objects():
             redacted = credentials.redact_object(text)
             assert json.loads(redacted)["key"] == o["key"] and not credentials.in_object(redacted)[1]
     assert not any(credentials.in_object(json.dumps(o))[1] for o in dead)
-    assert credentials.in_object("{broken \"key\": \"k\" https://u:pw123456@h/") == ("k", ["pw123456"])
+    assert credentials.in_object(broken := "{broken \"key\": \"k\" https://u:pw123456@h/") == ("k", [(broken.index("pw"), broken.index("@"))])
 
 
 def test_table(spark):
@@ -115,3 +115,33 @@ def test_corpus(spark):
     got = sorted((r["doc_id"], r["ids"]) for r in tokens.encode_corpus(df, piece_chars=1000).collect())
     assert got == sorted((i % 9, reference.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts))
     assert tokens.encode_corpus(df.limit(0)).count() == 0
+
+
+def test_hidden_names_and_words():
+    """Names written with separators are names; words under a name are words."""
+    code = 'sess_id = "b04a938e25bfaa73946eee07986c9340"\np_w_d = "Kd82$hsPq1"\naccess_to_ken = "VEhBVToMg6riIJ9Vtw"\ntoken = "season1"\ntoken = "channel1080p"\ntoken = "page12345"\nsecret = "x7#Q2"\nauth_token = "please enter the word here"\n密码_token = "请输入密码"\n'
+    assert credentials.scan_file(code.encode()) == [1, 2, 3, 7]
+
+
+def test_tokenizer_decides(spark, data, monkeypatch):
+    """With a tokenizer that finds everything natural most credentials are lost; with one that finds nothing natural none is."""
+    results = spark.read.parquet(f"{data}/source_results.parquet")
+    files = {bytes(x) for r in results.select("python_files").collect() for x in (r[0] or {}).values() if x is not None}
+    count = lambda: sum(len(credentials.scan_file(f)) for f in files)
+    usual = count()
+    monkeypatch.setattr(credentials, "chars_per_subword", lambda t: 99.0)
+    assert count() < 0.6 * usual
+    monkeypatch.setattr(credentials, "chars_per_subword", lambda t: 0.5)
+    assert count() >= usual > 0
+
+
+def test_redaction_by_place():
+    """Only the value's own place is blanked; escapes, nested JSON and deep nesting keep their form."""
+    o = '{"key":"Zq7#Kd82mPx1","api":"https://Zq7#Kd82mPx1.example/","token":"Zq7#Kd82mPx1"}'
+    assert credentials.redact_object(o) == o[: o.rindex("Zq7")] + "*" * 12 + '"}'
+    inner = json.dumps({"login": {"passwd": 'Co"pper\\Ember中6408'}})
+    for outer in (json.dumps({"key": "k", "ext": inner}), json.dumps({"key": "k", "ext": inner}, ensure_ascii=False)):
+        out = credentials.redact_object(outer)
+        assert len(out) == len(outer) and set(json.loads(json.loads(out)["ext"])["login"]["passwd"]) == {"*"} and json.loads(out)["key"] == "k"
+    deep = "[" * 100_000 + '{"key":"d","password":"Orbit_Ember9873"}' + "]" * 100_000
+    assert "Orbit" not in credentials.redact_object(deep) and credentials.in_object(deep)[1]
