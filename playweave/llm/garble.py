@@ -140,6 +140,8 @@ def _decode(run: bytes, written: str) -> str | None:
 
 def _undo(runs: list[str | bytes], written: str) -> str | None:
     """The text as it was before, or null if the swap does not fit. What the wrong reader cannot produce stays as it is."""
+    if len(runs) == 1:
+        return _decode(runs[0], written) if isinstance(runs[0], bytes) else runs[0]
     out = []
     for run in runs:
         piece = _decode(run, written) if isinstance(run, bytes) else run
@@ -252,6 +254,21 @@ def _cache_of(token: str) -> dict:
     return _ODDS[token]
 
 
+class Rare(dict):
+    """Whether the language has never seen a character in any form; marks that may join with a letter are not looked at."""
+
+    def __init__(self, unigrams: dict[int, int]):
+        self.unigrams = unigrams
+
+    def __missing__(self, ch: str) -> bool:
+        form = folded(ch)
+        out = self[ch] = form != " " and not unicodedata.category(ch).startswith("M") and any(ord(x) % UNIGRAM_CELLS not in self.unigrams for x in form)
+        return out
+
+    def __reduce__(self):
+        return Rare, (self.unigrams,)
+
+
 class Language:
     """Smoothed character bigrams."""
 
@@ -259,6 +276,8 @@ class Language:
         self.unigrams, self.bigrams = unigrams, bigrams
         self.total = sum(unigrams.values()) + 1
         self.steps: dict[str, float] = {}
+        self.rare = Rare(unigrams)
+        self.unseen = math.log(0.05 / (self.total + 60_000))
         self.token = uuid.uuid4().hex
 
     @staticmethod
@@ -272,7 +291,7 @@ class Language:
         return Language(*both)
 
     def __getstate__(self):
-        return self.__dict__ | {"steps": {}}
+        return self.__dict__ | {"steps": {}, "rare": Rare(self.unigrams)}
 
     def known(self, t: str) -> bool:
         """Every bigram of letters of a folded text, and every letter beside a digit or blank, occurs in the model."""
@@ -299,6 +318,10 @@ class Language:
         self.steps[pair] = out
         return out
 
+    def least_cost(self, text: str) -> float:
+        """What a text costs at least, by its never seen characters alone."""
+        return -self.unseen * sum(map(self.rare.__getitem__, text))
+
     def log_p(self, t: str, least: float = -math.inf) -> float:
         """Log probability of a folded text; -inf as soon as it is below `least`."""
         out, known = 0.0, self.steps.get
@@ -332,8 +355,7 @@ class GarbleModel:
             return None
         cache = _cache_of(self.language.token)
         if (found := cache.get(word, 0)) == 0:
-            free, out = not _DAMAGE.search(word) and self.language.known(f" {folded(word)} "), self._odds(word)
-            stands = self.stands(word)
+            free, (stands, out) = not _DAMAGE.search(word) and self.language.known(f" {folded(word)} "), self._odds(word)
             alien = stands < -noise(word) and all(stands + x[0] < -noise(x[1]) for x in out.values())
             if free:
                 # Marks are counted as blanks, beside which letters are independent: a word that becomes nothing but marks tells nothing.
@@ -348,8 +370,8 @@ class GarbleModel:
         """Log likelihood of a word as it stands, or as what it may be a disguise of."""
         return max(self.language.log_p(f" {folded(v)} ") for v in _variants(word))
 
-    def _odds(self, word: str) -> dict[int, tuple[float, str]]:
-        log_p, stands = self.language.log_p, self.stands(word)
+    def _odds(self, word: str) -> tuple[float, dict[int, tuple[float, str]]]:
+        log_p, least_cost, stands = self.language.log_p, self.language.least_cost, self.stands(word)
         out: dict[int, tuple[float, str]] = {}
         best, seen = stands, {word}
         if marks := len(_DAMAGE.findall(word)) + sum(1 for ch in word if ch > "\u02ff" and unicodedata.category(ch) == "Cn"):
@@ -359,6 +381,8 @@ class GarbleModel:
             nonlocal best
             if restored is not None and restored not in seen:
                 seen.add(restored)
+                if -least_cost(restored) <= best - 12.0:
+                    return
                 form = folded(restored)
                 if form.count(" ") * 2 > len(form) and any(map(str.isalnum, form)):
                     # Letters between marks everywhere are no text; marks alone may be.
@@ -369,13 +393,17 @@ class GarbleModel:
 
         for r in READ:
             runs = _runs(word, r)
+            whole = runs[0] if runs and len(runs) == 1 and isinstance(runs[0], bytes) else None
             for w in WRITTEN if runs else ():
-                if w == r or (restored := _table(word, NUMBER[w, r]) if (w, r) in NUMBER and NUMBER[w, r] in TABLES else _undo(runs, w)) is None:
+                if w == r:
+                    continue
+                h = NUMBER[w, r]
+                if (restored := _table(word, h) if h in TABLES else _decode(whole, w) if whole is not None else _undo(runs, w)) is None:
                     continue
-                try_(NUMBER[w, r], restored)
+                try_(h, restored)
                 if r == "latin" and w == "utf-8" and (twice := _runs(restored, r)):
                     try_(2, _undo(twice, w))
-        return out
+        return stands, out
 
     def undo(self, word: str, h: int, source: int) -> str:
         """A word as it was before the swap h."""
@@ -497,13 +525,17 @@ LEAST_GAIN, LEAST_PAIRS, LEAST_PER_UNIT = 1.0, 60, 8
 NEAR_PAGES = 0.3
 
 
-def _alien_pairs(model: GarbleModel):
-    """(cell, pair, n): neighbouring units of the words that neither the language nor a known table explains."""
+def _weigh_all(model: GarbleModel):
+    """Of the distinct texts: (cell, pair, n), the neighbouring units of words that neither the language nor a known table
+    explains, and (cell, n, h, score), where a text that no table explains has no h."""
 
     def run(batches):
         sums: dict[tuple[int, str], int] = defaultdict(int)
         for b in batches:
+            out: dict[tuple, int] = defaultdict(int)
             for cell, text, n in zip(b["cell"], b["text"], b["n"], strict=True):
+                scores = model.scores(text, cell)
+                out[cell, tuple(scores), tuple(round(x, 3) for x in scores.values())] += n
                 for word in _SPLIT.split(text):
                     # Single-byte pages have nothing beyond the East Asian marks.
                     odds = None if word.isascii() or max(word) >= "\u3000" or _DAMAGE.search(word) else model.odds(word)
@@ -511,7 +543,8 @@ def _alien_pairs(model: GarbleModel):
                         units = " " + "".join(ch.lower() if ch.isascii() else ch for ch in word if ch.isalpha() or not ch.isascii()) + " "
                         for i in range(len(units) - 1):
                             sums[cell, units[i : i + 2]] += n
-        yield pd.DataFrame([(c, p, n) for (c, p), n in sums.items()], columns=["cell", "pair", "n"])
+            yield pd.DataFrame([(c, None, n, list(h), list(v)) for (c, h, v), n in out.items()], columns=["cell", "pair", "n", "h", "score"])
+        yield pd.DataFrame([(c, p, n, None, None) for (c, p), n in sums.items()], columns=["cell", "pair", "n", "h", "score"])
 
     return run
 
@@ -620,20 +653,6 @@ def _gain(pairs: dict[str, int], table: dict[int, str], language: Language) -> f
     return sum(n * (language.step(t) - language.step(p.lower())) for n, p, t in after) / max(1, sum(pairs.values()))
 
 
-def _score(model: GarbleModel):
-    """(cell, n, h, score) of the distinct texts; a text that no table explains has no h."""
-
-    def run(batches):
-        for b in batches:
-            out: dict[tuple, int] = defaultdict(int)
-            for cell, text, n in zip(b["cell"], b["text"], b["n"], strict=True):
-                scores = model.scores(text, cell)
-                out[cell, tuple(scores), tuple(round(x, 3) for x in scores.values())] += n
-            yield pd.DataFrame([(c, n, list(h), list(v)) for (c, h, v), n in out.items()], columns=["cell", "n", "h", "score"])
-
-    return run
-
-
 def _expect(log_prior: dict[int, dict[int, float]], flat: dict[int, float]):
     def run(batches):
         sums: dict[tuple[int, int], float] = defaultdict(float)
@@ -670,10 +689,17 @@ def fit(channels: DataFrame, rounds: int = 12, fields: tuple[str, ...] = ("name"
         found = learn_table(dict(zip(pdf["pair"], pdf["n"].astype(int), strict=True)), language)
         return pd.DataFrame([(int(key[0]), x, a, found[1]) for x, a in found[0].items()] if found else [], columns=["cell", "unit", "letter", "exact"])
 
-    pairs = rows.mapInPandas(_alien_pairs(model), "cell int, pair string, n bigint").groupBy("cell", "pair").agg(F.sum("n").alias("n"))
+    weigh = lambda texts: texts.mapInPandas(_weigh_all(model), "cell int, pair string, n bigint, h array<int>, score array<double>")
+    weighed = materialize(weigh(rows).groupBy("cell", "pair", "h", "score").agg(F.sum("n").alias("n")), "garble-weighed")
+    scores = weighed.filter("pair IS NULL")
+    pairs = weighed.filter("pair IS NOT NULL").select("cell", "pair", "n")
     for r in pairs.groupBy("cell").applyInPandas(learn, "cell int, unit int, letter string, exact boolean").toLocalIterator():
         model.learned.setdefault(r["cell"], ({}, r["exact"]))[0][r["unit"]] = r["letter"]
-    scores = materialize(rows.mapInPandas(_score(model), "cell int, n bigint, h array<int>, score array<double>").groupBy("cell", "h", "score").agg(F.sum("n").alias("n")), "garble-scores")
+    if model.learned:
+        # Texts of sources with a table of their own are weighed again, under that table too.
+        own = F.col("cell").isin(list(model.learned))
+        again = weigh(rows.filter(own)).filter("pair IS NULL")
+        scores = materialize(scores.filter(~own).select("cell", "n", "h", "score").unionByName(again.select("cell", "n", "h", "score")), "garble-scores")
     before: dict[int, dict[int, float]] = {}
     for _ in range(rounds):
         sums = scores.mapInPandas(_expect(model.log_prior, model.flat), "cell int, h int, p double").groupBy("cell", "h").agg(F.sum("p").alias("p"))
