@@ -26,11 +26,22 @@ def p1_misses(spark: SparkSession, d: str) -> DataFrame:
     return p1_mapped(spark, d).filter("canon_id = 0").groupBy("field_name", "label").agg(F.count(F.lit(1)).alias("uses"))
 
 
-def p2_found(spark: SparkSession, d: str) -> DataFrame:
+def _names(spark: SparkSession, d: str):
+    """Names to compare, and what tells that one is garbled (problem 4)."""
     channels = table(spark, d, "channels")
-    bad = garble.garbled(garble.fit(channels))
-    names = channels.select("row_id", "result_id", "name").filter(~bad(F.col("name"), garble.source_cell(channels["source"])))
-    return lookalike.alike_pairs(names, "result_id")
+    model = garble.fit(channels)
+    return channels.select("row_id", "result_id", "name", garble.source_cell(channels["source"]).alias("cell")), lambda text, cell: model.hypothesis(text, cell) > 0
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    names, skip = _names(spark, d)
+    return lookalike.alike_pairs(names, "result_id", skip)
+
+
+def p2_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every row of a set of at least two spellings, with the set's smallest row and number of rows."""
+    names, skip = _names(spark, d)
+    return lookalike.alike_rows(names, "result_id", skip).select("row_id", "result_id", "class_row", "n")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -103,7 +114,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return langid.found(documents, languages, langid.fit(documents, languages)).select("doc_id", "line_no", "lang")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_mapped, p1_misses, p2_found, p3_found, p3_collapsed, p4_found, p4_restored, p4_mapping, p5_found, p5_redacted, p6_found, p6_survivors, p6_values, p7_ids, p8_found, p9_found, p9_identified)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_mapped, p1_misses, p2_found, p2_classes, p3_found, p3_collapsed, p4_found, p4_restored, p4_mapping, p5_found, p5_redacted, p6_found, p6_survivors, p6_values, p7_ids, p8_found, p9_found, p9_identified)}
 
 _BLANK = r"[\s\p{Z}\x{0085}\x{200B}\x{FEFF}]"
 _EDGE = r"""[\"''`<>(){}\[\]«»‘-‟〈-】〔-〛（）,.;:!?&|、。，；：！？．]"""

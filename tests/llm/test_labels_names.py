@@ -69,6 +69,21 @@ def test_alike_pairs(spark):
     assert lookalike.alike_pairs(c.limit(0).select("row_id", "result_id", "name"), "result_id").count() == 0
 
 
+def test_many_spellings_of_one_name(spark, tmp_path):
+    """A name in 300 spellings within one result: every pair, in blocks; classes name each row once; Armenian and Cherokee letters too."""
+    spelling = lambda i: "Snowfield" + "\u200b" * (i % 3) + " " * (i % 5 + 1) + "Home" + "\u2060" * (i // 15)
+    rows = [(i, 1, spelling(i)) for i in range(300)] + [(300 + i, 2, spelling(i)) for i in range(2)] + [(900, 3, "Հօme"), (901, 3, "home"), (902, 3, "Ꮋome"), (903, 3, "Home"), (904, 3, "Home")]
+    df = spark.createDataFrame(rows, "row_id bigint, result_id bigint, name string")
+    got = [tuple(r) for r in lookalike.alike_pairs(df, "result_id", block=40, hot=100).collect()]
+    ids = {}
+    for i, r, n in rows:
+        ids.setdefault((r, lookalike.plain(n) if i < 900 else {900: "h?", 901: "h?"}.get(i, "Home")), []).append((i, n))
+    expected = {(a, b) for g in ids.values() for a, x in g for b, y in g if a < b and x != y} - {(900, 901)}
+    assert len(got) == len(set(got)) and set(got) - {(900, 901)} == expected
+    classes = lookalike.alike_rows(df, "result_id").collect()
+    assert len(classes) == len({r["row_id"] for r in classes}) and {r["class_row"] for r in classes if r["row_id"] < 300} == {0}
+
+
 def test_garbled(spark):
     swaps = [("utf-8", "latin-1"), ("utf-8", "cp437"), ("utf-8", "mac_roman"), ("gb18030", "latin-1")]
     bad = {i: "澜浦新闻 梧泽购物".encode(w).decode(r) for i, (w, r) in enumerate(swaps)}
