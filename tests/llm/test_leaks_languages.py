@@ -1,7 +1,10 @@
 """Problems 8 and 9."""
 
+import os
 import random
 
+import pytest
+
 from playweave.llm import langid, leakage
 
 WORDS = {"en": "the station will move its programme to a later hour because viewers complained about the sound", "es": "la emisora pasa el programa a una hora posterior porque los espectadores se quejaron del sonido", "zh": "这个频道的节目改在晚上播出因为观众反映声音比画面慢了很多请先检查线路", "ru": "канал переносит программу на более поздний час потому что зрители жалуются на звук"}
@@ -78,7 +81,20 @@ def test_held_out(spark, data):
     docs, langs = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/languages.parquet")
     train, test = docs.filter("doc_id % 2 = 0"), docs.filter("doc_id % 2 = 1")
     out = langid.identify(test, langs, langid.fit(train, langs)).filter("label IS NOT NULL AND lang IS NOT NULL AND NOT mixed").collect()
-    assert sum(r["label"] == r["lang"] for r in out) >= 0.8 * len(out)
+    assert sum(r["label"] == r["lang"] for r in out) >= 0.9 * len(out)
+
+
+def test_languages_never_learned_are_rejected(spark):
+    """On the larger corpus, text of languages without a label has no language; text of those with one has it."""
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    docs, langs = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/languages.parquet")
+    model = langid.fit(docs, langs)
+    foreign = ["Tämä on suomenkielinen lause, jossa puhutaan televisiosta ja radiosta", "Bu kanalın yayını akşam saatlerinde daha iyi çalışıyor", "To jest polskie zdanie o telewizji i radiu dla wszystkich", "asdf qwer zxcv uiop hjkl", "Kênh này chuyển chương trình sang giờ muộn hơn"]
+    own = ["The channel moves its programme to a later hour", "Der Sender verlegt das Programm auf eine spätere Stunde", "La emisora pasa el programa a una hora posterior"]
+    assert [x for x, _ in model.classify(foreign)] == [None] * 5
+    assert [x for x, _ in model.classify(own)] == ["en", "de", "es"]
 
 
 def test_queries_run(spark, data):
