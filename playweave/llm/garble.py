@@ -23,8 +23,8 @@ that is in order:
 `mapping()` returns the learned unit-to-letter table. A word in order may stand in a spoiled text at no cost, so it counts for a
 table or not at all, and not for one that leaves no letter or digit of it.
 
-Equal texts, runs of digits apart, are weighed once in a worker. Characters that show nothing and no single- or double-byte page can
-produce take no part in the weighing.
+Texts that are equal but for runs of digits and for characters that show nothing and that no single- or double-byte page can
+produce are weighed once. What is found among them, a small share, goes back to the rows by a join that no popular text unbalances.
 
 Nulls, empty, blank and pure ASCII texts are never garbled. Texts are taken whole, whatever their length. Equal texts
 get equal results within a source. A restored text is null where nothing is garbled or something was lost.
@@ -49,6 +49,7 @@ from pyspark.sql import types as T
 
 from playweave.common import is_blank, letters_digits, materialize, small_rows
 from playweave.llm.lookalike import reshaped
+from playweave.operators.skew import attach_group_facts
 
 #: Encodings that text is written in, and those it may wrongly be read in. latin is Windows-1252 with Latin-1's controls.
 WRITTEN = ["utf-8", "gb18030", "big5", "cp932", "euc_jp", "cp949", "cp1251", "koi8_r", "cp866", "latin", "mac_roman"]
@@ -73,9 +74,12 @@ _INVISIBLE = re.compile("[­͏ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯︀-️﻿
 _ENCLOSED = re.compile("[①-⓿㈀-㏿⒈-⒛]")
 _CONFUSABLE = re.compile("[Ͱ-Ͽἀ-῿Ѐ-ԯµ\U0001d400-\U0001d7ff]")
 _SPLIT = re.compile("([ \\-|/\u2000-\u200a\u202f\u205f]+)")
-_DIGITS = re.compile("[0-9]{2,}")
+DIGITS = "[0-9]{2,}"
 #: What shows nothing and cannot come from a page of one or two bytes.
-_UNSEEN = re.compile("[\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufe00-\ufe0f\ufeff]")
+UNSEEN = "[\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufe00-\ufe0f\ufeff]"
+_DIGITS, _UNSEEN = re.compile(DIGITS), re.compile(UNSEEN)
+#: Columns whose texts may be garbled, and those of them that problem 4 reports.
+TEXTS, REPORTED = ("name", "group_raw", "source_section", "group_name"), ("name", "group_raw")
 _DAMAGE = re.compile("[\x80-\x9f�-\U000f0000-\U0010ffff]")
 
 
@@ -199,6 +203,11 @@ def normal(text: str) -> str:
     return _DIGITS.sub("00", _UNSEEN.sub("", text))
 
 
+def normal_form(text: Column) -> Column:
+    """`normal` of a column, in the JVM."""
+    return F.regexp_replace(F.regexp_replace(text, UNSEEN, ""), DIGITS, "00")
+
+
 @lru_cache(maxsize=1 << 17)
 def _fold(ch: str) -> str:
     """A character as it is counted: digits alike; ASCII punctuation, blanks and emoji as a blank."""
@@ -344,10 +353,12 @@ class GarbleModel:
         #: source cell -> (translate() table, whether it restores exactly)
         self.learned: dict[int, tuple[dict[int, str], bool]] = {}
         self.decided: dict[tuple[int, str], int] = {}
+        #: (cell, text, h, n) of the garbled ones among the normal texts of the table that was fitted to; n is their number of uses.
+        self.found: DataFrame | None = None
         self.gains: dict[tuple[int, str], float | None] = {}
 
     def __getstate__(self):
-        return self.__dict__ | {"decided": {}, "gains": {}}
+        return self.__dict__ | {"decided": {}, "gains": {}, "found": None}
 
     def odds(self, word: str) -> tuple[bool, dict[int, float], bool] | None:
         """(may be spared at no cost, known table -> log likelihood against the word as it stands, explained by nothing); null if no table has to be thought of."""
@@ -449,16 +460,19 @@ class GarbleModel:
         """The table that spoiled a text, or 0."""
         key = (source if source in self.log_prior else -1, normal(text))
         if (found := self.decided.get(key)) is None:
-            after, found = self.posterior(key[1], source), 0
-            if after:
-                h, p = max(after[1:], key=lambda x: x[1])
-                if p > 0 and math.log(p / max(after[0][1], 1e-300)) >= MARGIN:
-                    found = h
+            scores = self.scores(key[1], source)
+            found = self.choose(scores, source) if scores else 0
             if len(self.decided) > 200_000:
                 self.decided.clear()
             self.decided[key] = found
         return found
 
+    def choose(self, scores: dict[int, float], source: int) -> int:
+        """The table that explains a text best, if it does so by a margin; else 0."""
+        after = _weigh(scores, self.log_prior.get(source, self.flat))
+        h, p = max(after[1:], key=lambda x: x[1])
+        return h if p > 0 and math.log(p / max(after[0][1], 1e-300)) >= MARGIN else 0
+
     def restore(self, text: str, h: int, source: int) -> str | None:
         """The text as it was, null if that is lost."""
         if h == 1 or h == LEARNED and not self.learned[source][1]:
@@ -526,25 +540,29 @@ NEAR_PAGES = 0.3
 
 
 def _weigh_all(model: GarbleModel):
-    """Of the distinct texts: (cell, pair, n), the neighbouring units of words that neither the language nor a known table
-    explains, and (cell, n, h, score), where a text that no table explains has no h."""
+    """Of the distinct texts: (cell, text, uses, h, score) of each that some table may explain, (cell, n) of the others, and
+    (cell, pair, n), the neighbouring units of words that neither the language nor a known table explains."""
 
     def run(batches):
         sums: dict[tuple[int, str], int] = defaultdict(int)
+        clear: dict[int, int] = defaultdict(int)
+        columns = ["cell", "text", "pair", "n", "uses", "h", "score"]
         for b in batches:
-            out: dict[tuple, int] = defaultdict(int)
-            for cell, text, n in zip(b["cell"], b["text"], b["n"], strict=True):
-                scores = model.scores(text, cell)
-                out[cell, tuple(scores), tuple(round(x, 3) for x in scores.values())] += n
+            out = []
+            for cell, text, uses in zip(b["cell"], b["text"], b["uses"], strict=True):
+                if scores := model.scores(text, cell):
+                    out.append((cell, text, None, 1, uses, list(scores), list(scores.values())))
+                else:
+                    clear[cell] += 1
                 for word in _SPLIT.split(text):
                     # Single-byte pages have nothing beyond the East Asian marks.
                     odds = None if word.isascii() or max(word) >= "\u3000" or _DAMAGE.search(word) else model.odds(word)
                     if odds is not None and odds[2]:
                         units = " " + "".join(ch.lower() if ch.isascii() else ch for ch in word if ch.isalpha() or not ch.isascii()) + " "
                         for i in range(len(units) - 1):
-                            sums[cell, units[i : i + 2]] += n
-            yield pd.DataFrame([(c, None, n, list(h), list(v)) for (c, h, v), n in out.items()], columns=["cell", "pair", "n", "h", "score"])
-        yield pd.DataFrame([(c, p, n, None, None) for (c, p), n in sums.items()], columns=["cell", "pair", "n", "h", "score"])
+                            sums[cell, units[i : i + 2]] += 1
+            yield pd.DataFrame(out, columns=columns)
+        yield pd.DataFrame([(c, None, p, n, None, None, None) for (c, p), n in sums.items()] + [(c, None, None, n, None, [], []) for c, n in clear.items()], columns=columns)
 
     return run
 
@@ -657,7 +675,7 @@ def _expect(log_prior: dict[int, dict[int, float]], flat: dict[int, float]):
     def run(batches):
         sums: dict[tuple[int, int], float] = defaultdict(float)
         for b in batches:
-            for cell, n, hs, scores in zip(b["cell"], b["n"], b["h"], b["score"], strict=True):
+            for cell, n, hs, scores in zip(b["cell"], b["n"], b["h"], b["score"], strict=True):  # n is 1 for a text of its own
                 for h, p in _weigh(dict(zip(hs, scores, strict=True)), log_prior.get(cell, flat)):
                     if p > 1e-6:
                         sums[cell, int(h)] += p * n
@@ -666,40 +684,35 @@ def _expect(log_prior: dict[int, dict[int, float]], flat: dict[int, float]):
     return run
 
 
-@F.pandas_udf(T.StringType())
-def _normal(texts: pd.Series) -> pd.Series:
-    return texts.map(normal)
+WEIGHED = "cell int, text string, pair string, n bigint, uses bigint, h array<int>, score array<double>"
 
 
-def fit(channels: DataFrame, rounds: int = 12, fields: tuple[str, ...] = ("name", "group_raw")) -> GarbleModel:
+def fit(channels: DataFrame, rounds: int = 12, fields: tuple[str, ...] = TEXTS) -> GarbleModel:
     """Learn the language, the tables and their probabilities in each source; rounds=0 leaves out all expectation-maximization.
 
     What is collected: the hashed bigrams, the tables of at most SOURCE_CELLS sources, and SOURCE_CELLS x len(NAMES) sums.
-    The rounds end as soon as less than a thousandth of the texts changes its explanation.
+    The rounds end as soon as less than a thousandth of the texts changes its explanation. Copies of a text are no further
+    evidence: each distinct text of a source counts once.
     """
     model = GarbleModel(Language.fit(language_texts(channels)))
-    if not rounds:
-        return model
-    # Copies of a text are no further evidence: each distinct text of a source counts once.
-    rows = texts_of(channels, list(fields)).select("cell", "text").distinct().select("cell", _normal("text").alias("text")).distinct()
-    rows = materialize(rows.withColumn("n", F.lit(1).cast("bigint")), "garble-texts")
+    rows = texts_of(channels, list(fields)).select("cell", normal_form(F.col("text")).alias("text")).groupBy("cell", "text").agg(F.count(F.lit(1)).alias("uses"))
+    rows = materialize(rows, "garble-texts")
     language = model.language
 
     def learn(key, pdf: pd.DataFrame) -> pd.DataFrame:
         found = learn_table(dict(zip(pdf["pair"], pdf["n"].astype(int), strict=True)), language)
         return pd.DataFrame([(int(key[0]), x, a, found[1]) for x, a in found[0].items()] if found else [], columns=["cell", "unit", "letter", "exact"])
 
-    weigh = lambda texts: texts.mapInPandas(_weigh_all(model), "cell int, pair string, n bigint, h array<int>, score array<double>")
-    weighed = materialize(weigh(rows).groupBy("cell", "pair", "h", "score").agg(F.sum("n").alias("n")), "garble-weighed")
+    weighed = materialize(rows.mapInPandas(_weigh_all(model), WEIGHED), "garble-weighed")
     scores = weighed.filter("pair IS NULL")
-    pairs = weighed.filter("pair IS NOT NULL").select("cell", "pair", "n")
-    for r in pairs.groupBy("cell").applyInPandas(learn, "cell int, unit int, letter string, exact boolean").toLocalIterator():
-        model.learned.setdefault(r["cell"], ({}, r["exact"]))[0][r["unit"]] = r["letter"]
-    if model.learned:
-        # Texts of sources with a table of their own are weighed again, under that table too.
-        own = F.col("cell").isin(list(model.learned))
-        again = weigh(rows.filter(own)).filter("pair IS NULL")
-        scores = materialize(scores.filter(~own).select("cell", "n", "h", "score").unionByName(again.select("cell", "n", "h", "score")), "garble-scores")
+    if rounds:
+        pairs = weighed.filter("pair IS NOT NULL").groupBy("cell", "pair").agg(F.sum("n").alias("n"))
+        for r in pairs.groupBy("cell").applyInPandas(learn, "cell int, unit int, letter string, exact boolean").toLocalIterator():
+            model.learned.setdefault(r["cell"], ({}, r["exact"]))[0][r["unit"]] = r["letter"]
+        if model.learned:
+            # Texts of sources with a table of their own are weighed again, under that table too.
+            own = F.col("cell").isin(list(model.learned))
+            scores = materialize(scores.filter(~own).unionByName(rows.filter(own).mapInPandas(_weigh_all(model), WEIGHED).filter("pair IS NULL")), "garble-scores")
     before: dict[int, dict[int, float]] = {}
     for _ in range(rounds):
         sums = scores.mapInPandas(_expect(model.log_prior, model.flat), "cell int, h int, p double").groupBy("cell", "h").agg(F.sum("p").alias("p"))
@@ -715,36 +728,45 @@ def fit(channels: DataFrame, rounds: int = 12, fields: tuple[str, ...] = ("name"
         if moved <= 1e-3 * sum(p for own in by.values() for h, p in own.items() if h):
             break
         before = by
+
+    def choose(batches):
+        for b in batches:
+            hs = [model.choose(dict(zip(h, score, strict=True)), cell) for cell, h, score in zip(b["cell"], b["h"], b["score"], strict=True)]
+            yield pd.DataFrame({"cell": b["cell"], "text": b["text"], "h": hs, "n": b["uses"]})
+
+    found = scores.filter("text IS NOT NULL").mapInPandas(choose, "cell int, text string, h int, n bigint").filter("h > 0")
+    model.found = materialize(found.groupBy("cell", "text").agg(F.max("h").alias("h"), F.max("n").alias("n")), "garbled")
     return model
 
 
-def detect(channels: DataFrame, model: GarbleModel, fields: tuple[str, ...] = ("name", "group_raw")) -> DataFrame:
-    """(row_id, field_name, text, swap, restored) of every garbled text; restored is null where something was lost."""
+def garbled_rows(channels: DataFrame, model: GarbleModel, fields: tuple[str, ...] = REPORTED) -> DataFrame:
+    """(row_id, field_name, cell, text, h) of every garbled text."""
+    rows = texts_of(channels, list(fields)).withColumn("_text", normal_form(F.col("text")))
+    return attach_group_facts(rows, model.found.withColumnRenamed("text", "_text"), ["cell", "_text"], "n").select("row_id", "field_name", "cell", "text", "h")
 
-    def run(batches):
-        for b in batches:
-            out = []
-            for row, cell, field, text in zip(b["row_id"], b["cell"], b["field_name"], b["text"], strict=True):
-                bad, swap, restored = model.decide(text, cell)
-                if bad:
-                    out.append((row, field, text, swap, restored))
-            yield pd.DataFrame(out, columns=["row_id", "field_name", "text", "swap", "restored"])
 
-    return texts_of(channels, list(fields)).mapInPandas(run, "row_id bigint, field_name string, text string, swap string, restored string")
+def without_garbled(rows: DataFrame, text: str, model: GarbleModel) -> DataFrame:
+    """rows (with a column cell) but for those whose text is garbled; null texts stay. ASCII texts don't move."""
+    beyond = F.coalesce(F.col(text).rlike(r"[^\x00-\x7F]"), F.lit(False))
+    facts = model.found.select("cell", F.col("text").alias("_text"), "n", F.lit(True).alias("_bad"))
+    joined = attach_group_facts(rows.filter(beyond).withColumn("_text", normal_form(F.col(text))), facts, ["cell", "_text"], "n", how="left")
+    return rows.filter(~beyond).unionByName(joined.filter("_bad IS NULL").select(*rows.columns))
 
 
-def garbled(model: GarbleModel):
-    """Pandas UDF (text, cell) -> is garbled; false for null."""
+def detect(channels: DataFrame, model: GarbleModel, fields: tuple[str, ...] = REPORTED) -> DataFrame:
+    """(row_id, field_name, text, swap, restored) of every garbled text; restored is null where something was lost."""
 
-    @F.pandas_udf(T.BooleanType())
-    def run(texts: pd.Series, cells: pd.Series) -> pd.Series:
-        return pd.Series([t is not None and not t.isascii() and model.hypothesis(t, c) > 0 for t, c in zip(texts, cells, strict=True)], dtype=bool)
+    def run(batches):
+        for b in batches:
+            swaps = [NAMES[h] for h in b["h"]]
+            restored = [model.restore(text, h, cell) for text, h, cell in zip(b["text"], b["h"], b["cell"], strict=True)]
+            yield pd.DataFrame({"row_id": b["row_id"], "field_name": b["field_name"], "text": b["text"], "swap": swaps, "restored": restored})
 
-    return run
+    return garbled_rows(channels, model, fields).mapInPandas(run, "row_id bigint, field_name string, text string, swap string, restored string")
 
 
 def mapping(channels: DataFrame, model: GarbleModel) -> DataFrame:
-    """(swap, unit, letter, expected): the unit-to-letter table that was learned, as expected counts of each garbled unit's letter."""
+    """(swap, unit, letter, expected): the unit-to-letter table that was learned, as expected counts of each unit's letter in the texts found."""
 
     def unit_of(h: int, letter: str, text: str) -> str | None:
         """What stands for a letter in a garbled text: bytes beyond Latin-1's letters are read as Windows-1252 or as controls."""
@@ -781,5 +803,5 @@ def mapping(channels: DataFrame, model: GarbleModel) -> DataFrame:
                 sums.clear()
         yield pd.DataFrame([(*k, v) for k, v in sums.items()], columns=["swap", "unit", "letter", "expected"])
 
-    rows = texts_of(channels, ["name", "group_raw"]).select("cell", "text")
+    rows = garbled_rows(channels, model).select("cell", "text")
     return rows.mapInPandas(run, "swap string, unit string, letter string, expected double").groupBy("swap", "unit", "letter").agg(F.sum("expected").alias("expected"))

@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playweave.common import is_blank, small_rows
-from playweave.llm.garble import GarbleModel, source_cell
+from playweave.llm.garble import GarbleModel, source_cell, without_garbled
 from playweave.llm.lookalike import visible
 
 FIELDS = ["group_raw", "source_section", "group_name"]
-#: Most entries of a reference list.
-MOST_ENTRIES = 20_000
+#: Bounds of the dictionary, which is broadcast: entries, and characters of all deletions of their forms (a list of 20,000 names of 40 letters has some 600 million).
+MOST_ENTRIES, MOST_LETTERS = 20_000, 1_000_000_000
 #: Traditional characters and their simplified forms, for the characters of the group names.
 TRADITIONAL = "點聞際觀財經賽電競對極運動線懸劇場裝連鄉兒樂園畫親課錄歷檔紀戲語學習賞車評測購櫥氣報頻試導鑒釣時寵節慶東聯訊華韓選歐專寬帶輪廳聽風監樣門診農輔問軍綜藝謠臺廣書國誌圖類內鑑現區間"
 SIMPLIFIED = "点闻际观财经赛电竞对极运动线悬剧场装连乡儿乐园画亲课录历档纪戏语学习赏车评测购橱气报频试导鉴钓时宠节庆东联讯华韩选欧专宽带轮厅听风监样门诊农辅问军综艺谣台广书国志图类内鉴现区间"
@@ -84,7 +84,8 @@ def distance(a: str, b: str, most: float) -> float:
 class Dictionary:
     """Symmetric-delete index of the reference list."""
 
-    def __init__(self, entries: list[tuple[int, str | None, str | None, str | None]], frequency: dict[str, int]):
+    def __init__(self, entries: list[tuple[int, str | None, str | None, str | None]], frequency: dict[str, int], most_letters: int = MOST_LETTERS):
+        letters_held = 0
         self.index: dict[str, list[int]] = {}
         self.forms: list[tuple[str, int, int]] = []
         self.frequency = {i: frequency.get(name, 0) for i, name, _, _ in entries}
@@ -94,6 +95,10 @@ class Dictionary:
                 letters = next(iter(forms(text)), "") if text else ""
                 if letters:
                     allowed = edits_allowed(letters, is_code)
+                    n = len(letters)
+                    letters_held += n * (1 + (allowed > 0) * n + (allowed > 1) * n * (n - 1) // 2)
+                    if letters_held > most_letters:
+                        raise ValueError(f"the dictionary of the reference list would hold more than {most_letters} letters")
                     self.forms.append((letters, i, allowed))
                     for d in deletions(letters, allowed):
                         self.index.setdefault(d, []).append(len(self.forms) - 1)
@@ -127,23 +132,24 @@ class Dictionary:
         return best[-1] if best[0] < 99 else 0
 
 
-def fit(channels: DataFrame, reference: DataFrame) -> Dictionary:
+def fit(channels: DataFrame, reference: DataFrame, **options) -> Dictionary:
     """Dictionary of the reference list; frequencies are counted over all rows of channels, by an aggregate of bounded size."""
     entries = [tuple(r) for r in small_rows(reference.select("canon_id", "canon_name", "name_en", "short_code"), MOST_ENTRIES)]
-    names = [e[1] for e in entries if e[1]]
-    counts = channels.select(F.explode(F.array(*FIELDS)).alias("label")).filter(F.col("label").isin(names)).groupBy("label").count()
-    return Dictionary(entries, {r["label"]: r["count"] for r in small_rows(counts, MOST_ENTRIES)})
+    names = F.broadcast(reference.select(F.col("canon_name").alias("label")).filter("label IS NOT NULL").distinct())
+    counts = channels.select(F.explode(F.array(*FIELDS)).alias("label")).join(names, "label", "left_semi").groupBy("label").count()
+    return Dictionary(entries, {r["label"]: r["count"] for r in small_rows(counts, MOST_ENTRIES)}, **options)
 
 
-def map_labels(channels: DataFrame, reference: DataFrame, dictionary: Dictionary, garble: GarbleModel) -> DataFrame:
+def map_labels(channels: DataFrame, reference: DataFrame, dictionary: Dictionary, model: GarbleModel) -> DataFrame:
     """(row_id, field_name, label, canon_id) of every label that is to be mapped; canon_id 0 reports a miss."""
+    held = channels.sparkSession.sparkContext.broadcast(dictionary)
 
     @F.pandas_udf(T.IntegerType())
-    def entry(labels: pd.Series, cells: pd.Series) -> pd.Series:
-        return pd.Series([-1 if not x.isascii() and garble.hypothesis(x, c) else dictionary.look_up(x) for x, c in zip(labels, cells, strict=True)], dtype="int32")
+    def entry(labels: pd.Series) -> pd.Series:
+        return pd.Series([held.value.look_up(x) for x in labels], dtype="int32")
 
     entries = F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("label")) for f in FIELDS))
     rows = channels.select("row_id", source_cell(F.col("source")).alias("cell"), F.explode(entries).alias("e")).select("row_id", "cell", "e.*")
-    names = [r[0] for r in small_rows(reference.select("canon_name").filter("canon_name IS NOT NULL"), MOST_ENTRIES)]
-    rows = rows.filter(~is_blank(F.col("label")) & ~F.col("label").isin(names))
-    return rows.select("row_id", "field_name", "label", entry("label", "cell").alias("canon_id")).filter("canon_id >= 0")
+    names = F.broadcast(reference.select(F.col("canon_name").alias("label")).filter("label IS NOT NULL").distinct())
+    rows = rows.filter(~is_blank(F.col("label"))).join(names, "label", "left_anti")
+    return without_garbled(rows, "label", model).select("row_id", "field_name", "label", entry("label").alias("canon_id"))

@@ -9,7 +9,7 @@ Cyrillic K after a 4) has one script only and no dominant one, yet looks the sam
 `one_script` is false. The vocabulary is never collected: candidate words, of which
 there are few, are checked by a semi-join.
 
-Nulls, blank names and those that `skip` names take no part. Letter case, hyphens against blanks and traditional against simplified characters
+Nulls and blank names take no part. Letter case, hyphens against blanks and traditional against simplified characters
 stay different. Repeated rows are rows of their own, but equal strings are no pair.
 
 Rows are repaired once and written down. Sets with one spelling only never meet; the rows of the others meet in blocks, so
@@ -138,23 +138,22 @@ def vocabulary(plain_names: DataFrame) -> DataFrame:
     return plain_names.select(word).distinct().filter(scripts <= 1)
 
 
-def plain_names(names: DataFrame, skip=None) -> DataFrame:
-    """names with `plain`; null for null and blank names and for those that skip(name, cell) is true of. ASCII names never leave the JVM."""
+def plain_names(names: DataFrame) -> DataFrame:
+    """names with `plain`; null for null and blank names. ASCII names never leave the JVM."""
     beyond = F.coalesce(F.col("name").rlike(r"[^\x00-\x7F]"), F.lit(False))
-    cell = F.col("cell") if "cell" in names.columns else F.lit(0)
 
     @F.pandas_udf(T.StringType())
-    def run(texts: pd.Series, cells: pd.Series) -> pd.Series:
-        return pd.Series([None if skip is not None and skip(t, c) else plain(t) for t, c in zip(texts, cells, strict=True)], dtype=object)
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(plain)
 
     near = F.trim(F.regexp_replace("name", r"\s+", " "))
     ascii_rows = names.filter(~beyond).withColumn("plain", F.when(near != "", near))
-    return ascii_rows.unionByName(names.filter(beyond & ~is_blank(F.col("name"))).withColumn("plain", run("name", cell)))
+    return ascii_rows.unionByName(names.filter(beyond & ~is_blank(F.col("name"))).withColumn("plain", run("name")))
 
 
-def repaired(names: DataFrame, skip=None, one_script: bool = True, hot: int = 200_000) -> DataFrame:
+def repaired(names: DataFrame, one_script: bool = True, hot: int = 200_000) -> DataFrame:
     """names (columns row_id, name and others) with `same`: the form in which names that look alike are equal; names that take no part are left out."""
-    rows = materialize(plain_names(names, skip).filter("plain IS NOT NULL"), "plain-names")
+    rows = materialize(plain_names(names).filter("plain IS NOT NULL"), "plain-names")
 
     @F.pandas_udf(CANDIDATE)
     def proposed(texts: pd.Series) -> pd.Series:
@@ -180,17 +179,17 @@ def _apply(texts: pd.Series, fixes: pd.Series) -> pd.Series:
     return pd.Series([one(t, f) for t, f in zip(texts, fixes, strict=True)], dtype=object)
 
 
-def alike_rows(names: DataFrame, scope: str, skip=None, one_script: bool = True, hot: int = 200_000) -> DataFrame:
+def alike_rows(names: DataFrame, scope: str, one_script: bool = True, hot: int = 200_000) -> DataFrame:
     """(row_id, name, scope, same, set, n, class_row): the rows of sets of at least two spellings; class_row is the set's smallest row_id, n its rows."""
-    rows = repaired(names, skip, one_script, hot).select("row_id", "name", scope, "same", F.xxhash64(scope, "same").alias("set"))
+    rows = repaired(names, one_script, hot).select("row_id", "name", scope, "same", F.xxhash64(scope, "same").alias("set"))
     spelling = F.xxhash64("name")
     sets = rows.groupBy("set").agg(F.min(spelling).alias("least"), F.max(spelling).alias("most"), F.count(F.lit(1)).alias("n"), F.min("row_id").alias("class_row"))
     return materialize(attach_group_facts(rows, sets.filter("least <> most").select("set", "n", "class_row"), ["set"], "n", hot), "alike-rows")
 
 
-def alike_pairs(names: DataFrame, scope: str, skip=None, block: int = 2000, **options) -> DataFrame:
+def alike_pairs(names: DataFrame, scope: str, block: int = 2000, **options) -> DataFrame:
     """(row_a, row_b): rows of names (row_id, name, scope) of one scope whose names look the same and are different strings, row_a < row_b."""
-    meeting = alike_rows(names, scope, skip, **options)
+    meeting = alike_rows(names, scope, **options)
     sides = [[F.col("row_id").alias(f"row_{x}"), F.col("name").alias(f"name_{x}")] for x in "ab"]
     both = pairs_within(meeting, ["set", scope, "same"], "n", *sides, block=block)
     return both.filter("row_a < row_b AND name_a <> name_b").select("row_a", "row_b")

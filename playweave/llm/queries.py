@@ -26,22 +26,20 @@ def p1_misses(spark: SparkSession, d: str) -> DataFrame:
     return p1_mapped(spark, d).filter("canon_id = 0").groupBy("field_name", "label").agg(F.count(F.lit(1)).alias("uses"))
 
 
-def _names(spark: SparkSession, d: str):
-    """Names to compare, and what tells that one is garbled (problem 4)."""
+def _names(spark: SparkSession, d: str) -> DataFrame:
+    """Names to compare: those that are not garbled (problem 4)."""
     channels = table(spark, d, "channels")
-    model = garble.fit(channels)
-    return channels.select("row_id", "result_id", "name", garble.source_cell(channels["source"]).alias("cell")), lambda text, cell: model.hypothesis(text, cell) > 0
+    names = channels.select("row_id", "result_id", "name", garble.source_cell(channels["source"]).alias("cell"))
+    return garble.without_garbled(names, "name", garble.fit(channels)).drop("cell")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    names, skip = _names(spark, d)
-    return lookalike.alike_pairs(names, "result_id", skip)
+    return lookalike.alike_pairs(_names(spark, d), "result_id")
 
 
 def p2_classes(spark: SparkSession, d: str) -> DataFrame:
     """Every row of a set of at least two spellings, with the set's smallest row and number of rows."""
-    names, skip = _names(spark, d)
-    return lookalike.alike_rows(names, "result_id", skip).select("row_id", "result_id", "class_row", "n")
+    return lookalike.alike_rows(_names(spark, d), "result_id").select("row_id", "result_id", "class_row", "n")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -60,7 +58,8 @@ def p4_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return p4_restored(spark, d).select("row_id", "field_name")
+    channels = table(spark, d, "channels")
+    return garble.garbled_rows(channels, garble.fit(channels)).select("row_id", "field_name")
 
 
 def p4_mapping(spark: SparkSession, d: str) -> DataFrame:

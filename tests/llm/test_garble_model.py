@@ -28,7 +28,8 @@ def test_full_language_table(spark):
     fitted = garble.Language.fit(garble.language_texts(c))
     fill = lambda counts, cells: {i: 1 + 200 * counts.get(i, 0) for i in range(cells)}
     model = garble.GarbleModel(garble.Language(fill(fitted.unigrams, garble.UNIGRAM_CELLS), fill(fitted.bigrams, garble.BIGRAM_CELLS)))
-    assert {r["row_id"]: r["restored"] for r in garble.detect(c, model).filter("row_id < 1000").collect()} == {1: "澜浦新闻 梧泽购物", 3: good * 9 + "澜浦新闻 梧泽购物"}
+    decided = [model.decide(t, 0) for t in (bad, good, good * 9 + bad, "四 季 风 光")]
+    assert [(x[0], x[2]) for x in decided] == [(True, "澜浦新闻 梧泽购物"), (False, None), (True, good * 9 + "澜浦新闻 梧泽购物"), (False, None)]
 
 
 def names(n=300, seed=3):
