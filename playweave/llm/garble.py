@@ -80,6 +80,8 @@ UNSEEN = "[\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufe00-\ufe0f\ufeff]"
 _DIGITS, _UNSEEN = re.compile(DIGITS), re.compile(UNSEEN)
 #: Columns whose texts may be garbled, and those of them that problem 4 reports.
 TEXTS, REPORTED = ("name", "group_raw", "source_section", "group_name"), ("name", "group_raw")
+#: Narrow and wide Latin letters side by side: what two-byte pages make of an accent between letters, never a word.
+_MIXED_WIDTH = re.compile("[A-Za-z][Ａ-Ｚａ-ｚ]|[Ａ-Ｚａ-ｚ][A-Za-z]")
 _DAMAGE = re.compile("[\x80-\x9f�-\U000f0000-\U0010ffff]")
 
 
@@ -392,7 +394,7 @@ class GarbleModel:
             nonlocal best
             if restored is not None and restored not in seen:
                 seen.add(restored)
-                if -least_cost(restored) <= best - 12.0:
+                if -least_cost(restored) <= best - 12.0 or _MIXED_WIDTH.search(restored):
                     return
                 form = folded(restored)
                 if form.count(" ") * 2 > len(form) and any(map(str.isalnum, form)):
@@ -722,8 +724,7 @@ def fit(channels: DataFrame, rounds: int = 12, fields: tuple[str, ...] = TEXTS)
         for cell, own in by.items():
             # A Dirichlet prior of 50 texts keeps rare swaps possible in small sources.
             total = sum(own.values()) + 50.0
-            # One text is taken off each swap's number, so that no text is evidence for itself.
-            model.log_prior[cell] = {h: math.log((max(0.0, own.get(h, 0.0) - (h > 0)) + 50.0 * math.exp(model.flat[h])) / total) for h in range(len(NAMES))}
+            model.log_prior[cell] = {h: math.log((own.get(h, 0.0) + 50.0 * math.exp(model.flat[h])) / total) for h in range(len(NAMES))}
         moved = sum(abs(p - before.get(c, {}).get(h, 0.0)) for c, own in by.items() for h, p in own.items() if h)
         if moved <= 1e-3 * sum(p for own in by.values() for h, p in own.items() if h):
             break
