@@ -57,3 +57,8 @@ def small_rows(df: DataFrame, most: int) -> list:
     if len(rows) > most:
         raise ValueError(f"expected a reference table of at most {most} rows")
     return rows
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
