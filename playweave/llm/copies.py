@@ -9,14 +9,16 @@ once and of those it saw again. Merging two partitions' filters,
 is associative and never loses a repeated hash: all bits of a hash seen by both sides survive the AND. Only records whose
 bits are all set in the merged "again" filter are shuffled for the exact grouping; all others are certain singletons.
 
-Size: the filter takes `bits_per_row` bits a row, at most `most_bits` (2**28 bits = 32 MB, the proven bound of the
-broadcast). Beyond that bound it only becomes less selective; the result stays exact.
+Size: the filter takes `bits_per_row` bits a row, at most `most_bits` (2**28 bits = 32 MB, the proven bound of a
+broadcast). Where more would be needed, the hashes are written down in slices of their range, and each slice has a
+filter, and a pass, of its own: each hash is still read as often as with one filter, and all filters stay as selective.
 
 Nulls and blanks: records with a null or blank field take no part. Empty table: no rows. Exact repeats are copies.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 import numpy as np
@@ -24,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playweave.common import BLANKS, is_blank, letters_digits, materialize
+from playweave.common import BLANKS, is_blank, letters_digits, materialize, path_exists, shared_dir
 from playweave.operators.skew import attach_group_facts
 
 #: Bits of one block of the filter; both probes of a hash fall into the same block.
@@ -120,14 +122,21 @@ def _merge(batches):
         yield pd.DataFrame(rows[i : i + 64], columns=["block", "words"])
 
 
-def repeat_filter(prints: DataFrame, rows: int, bits_per_row: int = 12, most_bits: int = 1 << 28) -> tuple[DataFrame, int]:
-    """(block, words) of the merged "again" filter, and its number of blocks (a power of two)."""
-    blocks = 1
-    while blocks * BLOCK_BITS < min(rows * bits_per_row, most_bits):
-        blocks *= 2
+def blocks_for(rows: int, bits_per_row: float, most_bits: int) -> tuple[int, int]:
+    """(slices, blocks of each slice's filter), both powers of two."""
+    slices = blocks = 1
+    while slices * blocks * BLOCK_BITS < rows * bits_per_row:
+        if blocks * BLOCK_BITS < most_bits:
+            blocks *= 2
+        else:
+            slices *= 2
+    return slices, blocks
+
+
+def repeat_filter(prints: DataFrame, blocks: int) -> DataFrame:
+    """(block, words) of the merged "again" filter of `blocks` blocks."""
     partial = prints.select("h1", "h2").mapInPandas(_partial(blocks), "block int, once binary, again binary")
-    merged = partial.repartition("block").mapInPandas(_merge, "block int, words array<bigint>")
-    return merged, blocks
+    return partial.repartition("block").mapInPandas(_merge, "block int, words array<bigint>")
 
 
 def flag_repeats(prints: DataFrame, again: DataFrame, blocks: int) -> DataFrame:
@@ -138,15 +147,31 @@ def flag_repeats(prints: DataFrame, again: DataFrame, blocks: int) -> DataFrame:
     return joined.select("row_id", "h1", "h2", F.coalesce(set_(0) & set_(20), F.lit(False)).alias("maybe_repeated"))
 
 
-def collapse_copies(df: DataFrame, row_id: str, canon: list[Column], hot: int = 200_000, bits_per_row: int = 12) -> tuple[DataFrame, DataFrame]:
+def flagged_prints(df: DataFrame, row_id: str, canon: list[Column], bits_per_row: float, most_bits: int) -> DataFrame:
+    """Fingerprints of every record with maybe_repeated."""
+    spark = df.sparkSession
+    prints = fingerprints(df, row_id, canon)
+    slices, blocks = blocks_for(df.count(), bits_per_row, most_bits)
+    if slices == 1:
+        held = materialize(prints, "fingerprints")
+        # The merged filter is read by several plans: it is computed once.
+        return flag_repeats(held, materialize(repeat_filter(held, blocks), "again"), blocks)
+    base = f"{shared_dir(spark)}/playweave/sliced-{uuid.uuid4().hex}"
+    sliced = prints.withColumn("slice", F.shiftrightunsigned("h1", 40).bitwiseAND(F.lit(slices - 1)).cast("int"))
+    sliced.write.partitionBy("slice").parquet(f"{base}/prints")
+    for i in range(slices):
+        own = spark.read.schema(prints.schema).parquet(f"{base}/prints/slice={i}") if path_exists(spark, f"{base}/prints/slice={i}") else None
+        if own is not None:
+            flag_repeats(own, materialize(repeat_filter(own, blocks), "again"), blocks).write.mode("append").parquet(f"{base}/flagged")
+    return spark.read.parquet(f"{base}/flagged")
+
+
+def collapse_copies(df: DataFrame, row_id: str, canon: list[Column], hot: int = 200_000, bits_per_row: float = 12, most_bits: int = 1 << 28) -> tuple[DataFrame, DataFrame]:
     """(survivors, members) of the sets of records whose canonical fields agree.
 
     survivors: one row per set, (row_id = smallest id, copies). members: (row_a, row_b) for every further record.
     """
-    prints = materialize(fingerprints(df, row_id, canon), "fingerprints")
-    again, blocks = repeat_filter(prints, prints.count(), bits_per_row)
-    # The merged filter is read by several plans: it is computed once.
-    flagged = flag_repeats(prints, materialize(again, "again"), blocks)
+    flagged = flagged_prints(df, row_id, canon, bits_per_row, most_bits)
     maybe = flagged.filter("maybe_repeated").drop("maybe_repeated")
     groups = maybe.groupBy("h1", "h2").agg(F.min("row_id").alias("row_a"), F.count(F.lit(1)).alias("copies"))
     single = flagged.filter(~F.col("maybe_repeated")).select("row_id", F.lit(1).cast("bigint").alias("copies"))

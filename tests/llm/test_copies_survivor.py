@@ -42,6 +42,22 @@ def test_copies(spark, bits):
     assert counted == {min(v): len(v) for v in sets.values()} | {9005: 2}
 
 
+def test_slices_keep_filters_selective(spark):
+    """With a bound far below what the rows need, the passes over slices still move little more than the repeats."""
+    assert copies.blocks_for(100, 12, 1 << 28) == (1, 1) and copies.blocks_for(1 << 24, 12, 1 << 20) == (256, 16)
+    rows = [(i, f"http://h/{i if i % 50 else 7}", f"k{i if i % 50 else 7}") for i in range(40_000)]
+    df = spark.createDataFrame(rows, "row_id bigint, url string, channel_key string")
+    canon = [copies.canonical_address(F.col("url")), F.col("channel_key")]
+    repeats = 800 + 1
+    for most in (1 << 28, 1 << 16):
+        flagged = copies.flagged_prints(df, "row_id", canon, 12, most)
+        maybe = flagged.filter("maybe_repeated").count()
+        assert flagged.count() == 40_000 and repeats <= maybe <= repeats + 2000
+    assert copies.flagged_prints(df, "row_id", canon, 0.01, 1 << 16).filter("maybe_repeated").count() > maybe
+    pairs = {tuple(r) for r in copies.channel_copies(df, most_bits=1 << 16)[1].collect()}
+    assert pairs == {(0, i) for i in range(0, 40_000, 50) if i} - {(0, 7)} | {(0, 7)}
+
+
 def test_no_rows(spark):
     survivors, members = copies.channel_copies(spark.createDataFrame([], SCHEMA))
     assert survivors.count() == 0 and members.count() == 0
