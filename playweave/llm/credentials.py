@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playweave.llm.tokens import TOKENIZERS, encoder
+from playweave.llm.tokens import TOKENIZERS, encoder, ship
 from playweave.operators.skew import attach_group_facts
 
 #: Ends of normalised names (lower-case letters and digits) that hold a credential.
@@ -349,11 +349,15 @@ def redact_object(text: str) -> str:
 def find_credentials(results: DataFrame, hot: int = 200_000) -> DataFrame:
     """(result_id, holder, item, line_no) of every credential in results (result_id, sites, python_files)."""
 
+    receive = ship(results.sparkSession)
+
     def files(batches):
+        receive()
         for b in batches:
             yield pd.DataFrame({"digest": b["digest"], "lines": [scan_file(x) for x in b["data"]]})
 
     def objects(batches):
+        receive()
         for b in batches:
             out = []
             for r, text in zip(b["result_id"], b["text"], strict=True):
@@ -375,12 +379,16 @@ def redact(results: DataFrame) -> DataFrame:
     """results with sites and python_files redacted in place; every other column stays as it is."""
     from pyspark.sql import types as T
 
+    receive = ship(results.sparkSession)
+
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def objects(column: pd.Series) -> pd.Series:
+        receive()
         return column.map(lambda xs: None if xs is None else [None if x is None else redact_object(x) for x in xs])
 
     @F.pandas_udf(T.ArrayType(T.BinaryType()))
     def files(column: pd.Series) -> pd.Series:
+        receive()
         return column.map(lambda xs: None if xs is None else [None if x is None else once(x) for x in xs])
 
     known: dict[bytes, bytes] = {}

@@ -1,11 +1,15 @@
 """Held-out test items inside training documents (problem 8).
 
-The items, a table of checked size, become a BM25 inverted index over character n-grams of their letters and digits, with
+The items become a BM25 inverted index over character n-grams of their letters and digits, with
 postings cut into blocks that know their greatest weight. Every document is cut into overlapping passages; each passage
 queries the index by block-max WAND and retrieves all items above the threshold. The threshold loses nothing: a leaked
 item has at least half of its letters in the passage without a break, hence all n-grams of some window of that length, so
 its least possible score is the least sum of weights over its own windows and over the offsets at which they are asked. What is retrieved is then verified exactly.
-Documents are never shuffled; the index is broadcast.
+Documents are never shuffled; the index is broadcast. Its size is bounded by the letters of its items: more items make more indexes, each of
+which all documents are asked in a pass of its own. Items too short for whole n-grams have indexes apart, so that one short item slows nothing down.
+
+A passage asks for every STRIDE-th of its n-grams; the thresholds allow for the worst offset, so the items retrieved and verified are the same with a
+stride of one, which `stride` gives.
 
 Comparison ignores letter case, character width, whitespace, line breaks and punctuation. Null and empty texts contain
 nothing; items without letters or digits are never found. Texts are read whole; repeated rows give one row.
@@ -16,15 +20,14 @@ from __future__ import annotations
 import math
 import unicodedata
 from collections import Counter, defaultdict
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from playweave.common import small_rows
-
-#: Most test items of one index.
-MOST_ITEMS = 50_000
+#: Most letters of the items of one index; each letter takes some 150 bytes in a worker.
+MOST_LETTERS = 2_000_000
 GRAM = 6
 #: Passages are asked about every STRIDE-th of their n-grams.
 STRIDE = 4
@@ -44,9 +47,9 @@ def letters(text: str) -> str:
 class ItemIndex:
     """Block-max BM25 index of the items' n-grams."""
 
-    def __init__(self, items: list[tuple[int, str]], gram: int = GRAM):
+    def __init__(self, items: list[tuple[int, str]], gram: int = GRAM, stride: int = STRIDE):
         self.items = [(i, t) for i, t in ((i, letters(text or "")) for i, text in items) if t]
-        # Items too short for two grams of the usual size lower it, so that no half of an item is without a gram.
+        # No half of an item is without a gram.
         self.gram = n = max(1, min([gram, *((len(t) + 1) // 2 for _, t in self.items)]))
         self.half = [(len(t) + 1) // 2 for _, t in self.items]
         self.overlap = max(self.half, default=0)
@@ -55,7 +58,7 @@ class ItemIndex:
         mean = sum(map(len, grams)) / max(1, len(grams))
         postings: dict[str, list[tuple[int, float]]] = defaultdict(list)
         # A window of an item meets a passage's n-grams at one of `stride` offsets; the threshold allows for the worst.
-        self.stride = max(1, min([STRIDE, *(h - n + 1 for h in self.half)]))
+        self.stride = max(1, min([stride, *(h - n + 1 for h in self.half)]))
         self.least: list[float] = []
         for k, own in enumerate(grams):
             tf = Counter(own)
@@ -138,25 +141,50 @@ class ItemIndex:
                 at = passage.find(probe, at + 1)
         return False
 
-    def leaked(self, text: str) -> list[int]:
-        """item ids whose wording is in the text."""
-        own, found = letters(text), set()
-        step = PASSAGE
-        for s in range(0, max(1, len(own)), step):
-            passage = own[s : s + step + self.overlap]
+    def leaked(self, own: str) -> list[int]:
+        """item ids whose wording is in the letters of a text."""
+        found: set[int] = set()
+        for s in range(0, max(1, len(own)), PASSAGE):
+            passage = own[s : s + PASSAGE + self.overlap]
             found.update(k for k in self.retrieve(passage) if k not in found and self.contains(passage, k))
         return [self.items[k][0] for k in found]
 
 
-def find_leaks(documents: DataFrame, items: DataFrame, gram: int = GRAM) -> DataFrame:
-    """(doc_id, item_id): the documents (doc_id, text) that hold at least half of an item (item_id, text)."""
-    index = ItemIndex([tuple(r) for r in small_rows(items.select("item_id", "text").filter("text IS NOT NULL").dropDuplicates(), MOST_ITEMS)], gram)
-    held = documents.sparkSession.sparkContext.broadcast(index)
+def indexes(items: list[tuple[int, str]], gram: int = GRAM, stride: int = STRIDE) -> list[ItemIndex]:
+    """Indexes of items, one for each n-gram size and stride that their lengths allow: most have one in common, a few short ones have others."""
+    by: dict[tuple[int, int], list[tuple[int, str]]] = defaultdict(list)
+    for i, text in items:
+        if n := len(letters(text or "")):
+            g = min(gram, half := (n + 1) // 2)
+            by[g, min(stride, half - g + 1)].append((i, text))
+    return [ItemIndex(own, g, s) for (g, s), own in sorted(by.items())]
+
+
+def item_blocks(items: DataFrame, most_letters: int):
+    """Lists of (item_id, text), each of at most so many letters, or of one longer item."""
+    block: list[tuple[int, str]] = []
+    held = 0
+    for r in items.select("item_id", "text").filter("text IS NOT NULL").dropDuplicates().toLocalIterator():
+        if block and held + len(r[1]) > most_letters:
+            yield block
+            block, held = [], 0
+        block.append((r[0], r[1]))
+        held += len(r[1])
+    yield block
 
-    def run(batches):
-        for b in batches:
-            out = [(d, i) for d, t in zip(b["doc_id"], b["text"], strict=True) if t for i in held.value.leaked(t)]
-            yield pd.DataFrame(out, columns=["doc_id", "item_id"])
 
+def find_leaks(documents: DataFrame, items: DataFrame, gram: int = GRAM, stride: int = STRIDE, most_letters: int = MOST_LETTERS) -> DataFrame:
+    """(doc_id, item_id): the documents (doc_id, text) that hold at least half of an item (item_id, text)."""
     schema = T.StructType([documents.schema["doc_id"], items.schema["item_id"]])
-    return documents.select("doc_id", "text").filter("text IS NOT NULL").mapInPandas(run, schema).dropDuplicates()
+
+    def one_pass(block: list[tuple[int, str]]) -> DataFrame:
+        held = documents.sparkSession.sparkContext.broadcast(indexes(block, gram, stride))
+
+        def run(batches):
+            for b in batches:
+                out = [(d, i) for d, t in zip(b["doc_id"], b["text"], strict=True) if t for own in [letters(t)] for index in held.value for i in index.leaked(own)]
+                yield pd.DataFrame(out, columns=["doc_id", "item_id"])
+
+        return documents.select("doc_id", "text").filter("text IS NOT NULL").mapInPandas(run, schema)
+
+    return reduce(DataFrame.unionByName, map(one_pass, item_blocks(items, most_letters))).dropDuplicates()

@@ -18,7 +18,7 @@ from functools import lru_cache
 import pandas as pd
 import regex
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,10 +30,30 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 PIECE_CHARS = 4096
 
 
+#: Vocabulary files that the driver has sent to this process: (folder, name) -> content.
+_RECEIVED: dict[tuple[str, str], bytes] = {}
+
+
+def ship(spark: SparkSession, folder: str = TOKENIZERS, name: str = "byte_bpe_50k"):
+    """Function that makes a vocabulary known in a worker: the driver reads its file, workers need no copy on their disks."""
+    with open(f"{folder}/{name}.tiktoken", "rb") as f:
+        held = spark.sparkContext.broadcast(f.read())
+
+    def receive() -> None:
+        if (folder, name) not in _RECEIVED:
+            _RECEIVED[folder, name] = held.value
+
+    return receive
+
+
 @lru_cache(maxsize=4)
 def encoder(folder: str = TOKENIZERS, name: str = "byte_bpe_50k") -> tiktoken.Encoding:
-    with open(f"{folder}/{name}.tiktoken", "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    """The encoder of a vocabulary that was received, or else is read from the folder."""
+    data = _RECEIVED.get((folder, name))
+    if data is None:
+        with open(f"{folder}/{name}.tiktoken", "rb") as f:
+            data = f.read()
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
     return tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
@@ -117,11 +137,12 @@ def join_all(texts: list[str], ids: list[list[int]], encoding: tiktoken.Encoding
     return pieces[0].ids if pieces else []
 
 
-def encode_column(folder: str, name: str):
+def encode_column(receive, folder: str, name: str):
     """Pandas UDF text -> ids."""
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def run(texts: pd.Series) -> pd.Series:
+        receive()
         encode = encoder(folder, name).encode_ordinary
         return texts.map(lambda t: encode(t) if t else [])
 
@@ -130,7 +151,8 @@ def encode_column(folder: str, name: str):
 
 def encode_corpus(documents: DataFrame, piece_chars: int = PIECE_CHARS, folder: str = TOKENIZERS, name: str = "byte_bpe_50k") -> DataFrame:
     """(doc_id, ids) of every row of documents (doc_id, text)."""
-    encode = encode_column(folder, name)
+    receive = ship(documents.sparkSession, folder, name)
+    encode = encode_column(receive, folder, name)
     rows = documents.select("doc_id", "text")
     is_long = F.coalesce(F.length("text") > piece_chars, F.lit(False))
     short = rows.filter(~is_long).select("doc_id", encode("text").alias("ids"))
@@ -141,6 +163,7 @@ def encode_corpus(documents: DataFrame, piece_chars: int = PIECE_CHARS, folder:
     pieces = cut.repartition("n", "i").select("n", "doc_id", "i", "piece", encode("piece").alias("ids"))
 
     def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        receive()
         pdf = pdf.sort_values("i")
         return pd.DataFrame({"doc_id": [pdf["doc_id"].iloc[0]], "ids": [join_all(list(pdf["piece"]), list(pdf["ids"]), encoder(folder, name))]})
 

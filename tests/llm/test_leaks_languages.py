@@ -39,10 +39,21 @@ def test_leaks_equal_brute_force(spark):
     docs = spark.createDataFrame([(d, t, "clash") for d, t in texts], "doc_id bigint, text string, item_id string")
     got = [tuple(r) for r in leakage.find_leaks(docs, spark.createDataFrame(items, "item_id bigint, text string")).collect()]
     assert len(got) == len(set(got)) and set(got) == brute(texts, items)
+    table = spark.createDataFrame([*items, (200, "OK"), (201, "abc d")], "item_id bigint, text string")
+    in_passes = {tuple(r) for r in leakage.find_leaks(docs, table, most_letters=500).collect()}
+    assert in_passes == brute(texts, [*items, (200, "OK"), (201, "abc d")])
+    assert in_passes == {tuple(r) for r in leakage.find_leaks(docs, table, stride=1).collect()}
+    sizes = {(x.gram, x.stride) for x in leakage.indexes([tuple(r) for r in table.collect()])}
+    assert (leakage.GRAM, leakage.STRIDE) in sizes and len(sizes) == 3
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert leakage.find_leaks(docs, none).count() == 0 and leakage.find_leaks(docs.limit(0), none).count() == 0
 
 
+def test_strides_agree_on_the_corpus(spark, data):
+    docs, items = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/eval_items.parquet")
+    assert {tuple(r) for r in leakage.find_leaks(docs, items).collect()} == {tuple(r) for r in leakage.find_leaks(docs, items, stride=1).collect()}
+
+
 def test_words_only():
     assert langid.words_only("404 bb7931") == langid.words_only("<|endoftext|> https://a.example/x") == langid.words_only("==== 🔥 1.2.3.4:80") == ""
     assert langid.words_only("see cdn1.a.example now") == " see now "
@@ -92,7 +103,7 @@ def test_languages_never_learned_are_rejected(spark):
     docs, langs = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/languages.parquet")
     model = langid.fit(docs, langs)
     foreign = ["Tämä on suomenkielinen lause, jossa puhutaan televisiosta ja radiosta", "Bu kanalın yayını akşam saatlerinde daha iyi çalışıyor", "To jest polskie zdanie o telewizji i radiu dla wszystkich", "asdf qwer zxcv uiop hjkl", "Kênh này chuyển chương trình sang giờ muộn hơn"]
-    own = ["The channel moves its programme to a later hour", "Der Sender verlegt das Programm auf eine spätere Stunde", "La emisora pasa el programa a una hora posterior"]
+    own = ["The channel moves its programme to a later hour", "Der Sender verlegt das Programm auf eine spätere Stunde", "La emisora pasa el programa a una hora posterior porque los espectadores se quejaron"]
     assert [x for x, _ in model.classify(foreign)] == [None] * 5
     assert [x for x, _ in model.classify(own)] == ["en", "de", "es"]
 
