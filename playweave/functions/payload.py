@@ -19,23 +19,12 @@ CONTENT_METHODS = {"homeContent", "categoryContent", "detailContent", "searchCon
 def decode_text(data: pd.Series) -> pd.Series:
     """Text of bytes by the first encoding that fits; null for null."""
 
-    def one(b):
-        if b is None:
-            return None
-        for e in ENCODINGS:
-            try:
-                return b.decode(e)
-            except UnicodeDecodeError:
-                continue
-        return b.decode("utf-8", "replace")
-
-    return data.map(one)
+    return data.map(lambda b: None if b is None else _decoded(b))
 
 
-@F.pandas_udf(T.BinaryType())
-def unix_lines(data: pd.Series) -> pd.Series:
-    """Bytes with CRLF replaced by LF."""
-    return data.map(lambda b: None if b is None else b.replace(b"\r\n", b"\n"))
+def unix_lines(data: Column) -> Column:
+    """Bytes with CRLF replaced by LF; Latin-1 takes every byte as it is, so nothing leaves the JVM."""
+    return F.encode(F.replace(F.decode(data, "ISO-8859-1"), F.lit("\r\n"), F.lit("\n")), "ISO-8859-1")
 
 
 def content_digest(data: Column) -> Column:
@@ -48,38 +37,77 @@ def text_digest(text: Column) -> Column:
     return F.sha2(F.replace(text, F.lit("\r\n"), F.lit("\n")), 256)
 
 
-def is_encrypted(text: Column) -> Column:
-    """A hexadecimal envelope: 80 characters or more, opening mark 2423, inner mark 2324, whole AES blocks between."""
+#: Opening and inner mark of an envelope, digits of its initial vector, digits of one AES block.
+OPENING, INNER, VECTOR_DIGITS, BLOCK_DIGITS = "2423", "2324", 26, 32
+
+
+def _envelope(text: Column) -> tuple[Column, Column, Column]:
+    """(lower-cased digits, place of the inner mark behind the opening one or 0, number of digits of the body)."""
     t = F.lower(F.trim(text))
-    body = F.length(t) - F.locate("2324", t) - 4 - 26 + 1
-    return t.rlike("^2423[0-9a-f]{76,}$") & (F.locate("2324", t) > 0) & (body > 0) & (F.pmod(body, F.lit(32)) == 0)
+    mark = F.locate(INNER, t, len(OPENING) + 1)
+    return t, mark, F.length(t) - mark - len(INNER) - VECTOR_DIGITS + 1
+
+
+def is_encrypted(text: Column) -> Column:
+    """A hexadecimal envelope: 80 characters or more, opening mark, inner mark, whole AES blocks between; false for null."""
+    t, mark, body = _envelope(text)
+    return F.coalesce(t.rlike(f"^{OPENING}[0-9a-f]{{{80 - len(OPENING)},}}$") & (mark > 0) & (body > 0) & (F.pmod(body, F.lit(BLOCK_DIGITS)) == 0), F.lit(False))
 
 
 def decrypt(text: Column) -> Column:
-    """Plain text of an envelope: key between the marks, initial vector in the last 26 digits; null if it does not open."""
-    t = F.lower(F.trim(text))
-    mark = F.locate("2324", t)
-    plain = lambda h: F.rpad(F.decode(F.unhex(h), "utf-8"), 16, "0")
-    key, iv = plain(F.substring(t, F.lit(5), mark - 5)), plain(F.substring(t, F.length(t) - 25, F.lit(26)))
-    body = F.unhex(F.substring(t, mark + 4, F.length(t) - 26 - mark - 3))
-    return F.when(is_encrypted(text), F.decode(F.try_aes_decrypt(F.concat(F.encode(iv, "utf-8"), body), F.encode(key, "utf-8"), F.lit("CBC"), F.lit("PKCS")), "utf-8"))
+    """Plain text of an envelope: key between the marks, initial vector in the last digits, both filled up with zeros; null if it does not open."""
+    t, mark, body = _envelope(text)
+    plain = lambda h: F.rpad(F.coalesce(F.try_validate_utf8(F.unhex(h).cast("string")), F.lit("")), 16, "0")
+    key, iv = plain(F.substring(t, F.lit(len(OPENING) + 1), mark - len(OPENING) - 1)), plain(F.substring(t, F.length(t) - VECTOR_DIGITS + 1, F.lit(VECTOR_DIGITS)))
+    data = F.unhex(F.substring(t, mark + len(INNER), body))
+    return F.when(is_encrypted(text), F.try_validate_utf8(F.try_aes_decrypt(F.concat(F.encode(iv, "utf-8"), data), F.encode(key, "utf-8"), F.lit("CBC"), F.lit("PKCS")).cast("string")))
+
+
+def unwrap(text: Column) -> Column:
+    """JSON text behind an eight-character mark and `**`, in Base64 with any blanks; null if the whole text has not that form."""
+    body = F.regexp_extract(F.trim(text), r"^[A-Za-z0-9_-]{8}\*\*([A-Za-z0-9+/=\s]+)$", 1)
+    data = F.try_to_binary(F.regexp_replace(body, r"\s+", ""), F.lit("base64"))
+    return F.when(F.length(data) > 0, F.regexp_replace(F.try_validate_utf8(data.cast("string")), "^\ufeff", ""))
 
 
 def parse_config(text: Column) -> Column:
-    """A configuration as VARIANT: plain JSON, JSON in Base64 after `**`, or an encrypted envelope; null if none fits."""
-    wrapped = F.try_to_binary(F.regexp_extract(text, r"[A-Za-z0-9]{8}\*\*([A-Za-z0-9+/=\s]+)$", 1), F.lit("base64"))
-    return F.coalesce(F.try_parse_json(text), F.try_parse_json(F.when(F.length(wrapped) > 0, F.decode(wrapped, "utf-8"))), F.try_parse_json(decrypt(text)))
+    """A configuration as VARIANT: plain JSON, wrapped JSON, or an encrypted envelope; null if none fits."""
+    bare = F.regexp_replace(text, "^\ufeff", "")
+    return F.coalesce(F.try_parse_json(bare), F.try_parse_json(unwrap(bare)), F.try_parse_json(decrypt(bare)))
+
+
+def _decoded(b: bytes) -> str:
+    for e in ENCODINGS:
+        try:
+            return b.decode(e)
+        except UnicodeDecodeError:
+            continue
+    return b.decode("utf-8", "replace")
+
+
+def name_rank(name: Column) -> Column:
+    """Order of the names of one file: those without a digest at their end first, then the short ones."""
+    return F.struct(name.rlike(r"(?i)-[0-9a-f]{10}\.py$").alias("hashed"), F.length(name).alias("n"), F.lower(name).alias("low"), name.alias("name"))
+
+
+def file_name(url: Column) -> Column:
+    """File name of a plugin's address: the last part of its path, without characters that file systems refuse; `.py` is added, `spider.py` where nothing is left."""
+    last = F.coalesce(F.try_url_decode(F.replace(F.regexp_extract(F.regexp_replace(url, r"[?#].*$", ""), r"([^/]*)$", 1), F.lit("+"), F.lit("%2B"))), F.lit(""))
+    full = F.when(F.lower(last).endswith(".py"), last).otherwise(F.concat(last, F.lit(".py")))
+    clean = F.regexp_replace(F.regexp_replace(full, r'[<>:"/\\|?*\x00-\x1f]', "_"), r"^[ .]+|[ .]+$", "")
+    return F.when(url.isNotNull(), F.when(clean.isin("", "py"), F.lit("spider.py")).otherwise(clean))
 
 
 @F.pandas_udf(T.BooleanType())
 def is_plugin(data: pd.Series) -> pd.Series:
-    """Source with a class Spider that has a content method. The code is parsed, never run."""
+    """Source that has, anywhere, a class Spider and a content method. The code is parsed, never run."""
 
     def one(b):
         try:
-            tree = ast.parse(b.decode("utf-8-sig") if b is not None else "")
+            nodes = list(ast.walk(ast.parse(_decoded(b) if b is not None else "")))
         except (SyntaxError, ValueError, RecursionError, MemoryError):
             return False
-        return any(isinstance(n, ast.ClassDef) and n.name == "Spider" and any(isinstance(m, (ast.FunctionDef, ast.AsyncFunctionDef)) and m.name in CONTENT_METHODS for m in n.body) for n in tree.body)
+        spider = any(isinstance(n, ast.ClassDef) and n.name == "Spider" for n in nodes)
+        return spider and any(isinstance(n, (ast.FunctionDef, ast.AsyncFunctionDef)) and n.name in CONTENT_METHODS for n in nodes)
 
     return data.map(one)

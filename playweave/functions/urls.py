@@ -54,17 +54,30 @@ def mirrored(url: Column, hosts: list[str], mirror: str) -> Column:
 
 
 def safe(url: Column) -> Column:
-    """Drop userinfo, fragment and parameters with sensitive names; the rest stays as written."""
-    bare = F.regexp_replace(F.regexp_replace(url, r"(?s)#.*\z", ""), r"^([A-Za-z][A-Za-z0-9+.\-]*://)[^/?@]*@", "$1")
+    """Drop blanks at both ends, userinfo, fragment and parameters with sensitive names, also percent-encoded ones; the rest stays as written."""
+    bare = F.regexp_replace(F.regexp_replace(trimmed(url), r"(?s)#.*\z", ""), r"^([A-Za-z][A-Za-z0-9+.\-]*://)[^/?@]*@", "$1")
     place, query = F.regexp_extract(bare, r"^([^?]*)", 1), F.regexp_extract(bare, r"(?s)\?(.*)\z", 1)
-    kept = F.array_join(F.filter(F.split(query, "&"), lambda p: (p != "") & ~F.regexp_replace(F.lower(F.regexp_extract(p, r"^([^=]*)", 1)), "[^a-z0-9]", "").isin(SENSITIVE_NAMES)), "&")
+
+    def name(parameter: Column) -> Column:
+        raw = F.regexp_extract(parameter, r"^([^=]*)", 1)
+        return F.regexp_replace(F.lower(F.coalesce(F.try_url_decode(raw), raw)), "[^a-z0-9]", "")
+
+    kept = F.array_join(F.filter(F.split(query, "&"), lambda p: (p != "") & ~name(p).isin(SENSITIVE_NAMES)), "&")
     return F.when(kept != "", F.concat(place, F.lit("?"), kept)).otherwise(place)
 
 
+def raw_address(base: str, path: Column) -> Column:
+    """Address of a path under a base, each part percent-encoded, slashes kept."""
+    parts = F.transform(F.split(F.replace(path, F.lit("\\"), F.lit("/")), "/"), lambda x: F.replace(F.url_encode(x), F.lit("+"), F.lit("%20")))
+    return F.concat(F.lit(base.rstrip("/") + "/"), F.array_join(parts, "/"))
+
+
 def is_internal(url: Column) -> Column:
     """Private, loopback or link-local address, or a host of an operator's network; false for null."""
     h = host(url)
-    private = h.rlike(r"^(?:10|127)\.\d+\.\d+\.\d+$|^192\.168\.\d+\.\d+$|^172\.(?:1[6-9]|2\d|3[01])\.\d+\.\d+$|^169\.254\.\d+\.\d+$|^0\.\d+\.\d+\.\d+$|^localhost$")
+    v6 = F.lower(F.regexp_extract(url, r"^\s*[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?\[([0-9A-Fa-f:.]+)\]", 1))
+    private = h.rlike(r"^(?:0|10|127)\.\d+\.\d+\.\d+$|^192\.168\.\d+\.\d+$|^172\.(?:1[6-9]|2\d|3[01])\.\d+\.\d+$|^169\.254\.\d+\.\d+$|^192\.0\.[02]\.\d+$|^198\.(?:1[89]\.\d+|51\.100)\.\d+$|^203\.0\.113\.\d+$|^2[4-5]\d\.\d+\.\d+\.\d+$|^localhost$")
+    private = private | v6.rlike("^(?:::1?|f[cd][0-9a-f]{2}:.*|fe[89ab][0-9a-f]:.*|2001:db8:.*)$")
     own = private
     for s in INTRANET_SUFFIXES:
         own = own | h.endswith(s)
@@ -99,6 +112,19 @@ def resolve(references: pd.Series, bases: pd.Series) -> pd.Series:
     return pd.Series([one(r, b) for r, b in zip(references, bases, strict=True)], dtype=object)
 
 
+@F.pandas_udf(T.StringType())
+def resolve_all(references: pd.Series, bases: pd.Series) -> pd.Series:
+    """Every reference made absolute against its base."""
+
+    def one(r, b):
+        try:
+            return None if r is None else urljoin(b or "", r)
+        except ValueError:
+            return r
+
+    return pd.Series([one(r, b) for r, b in zip(references, bases, strict=True)], dtype=object)
+
+
 def relay(url: Column, template: str) -> Column:
     """Address at a relay: {url} in the template, else the template as prefix; the address is fully encoded. Only https relays without userinfo."""
     parts = urlsplit(template)

@@ -14,6 +14,7 @@ SOFT_STATUSES = [401, 403, 407, 408, 425, 429, 451]
 HARD_STATUSES = [404, 410]
 #: Parts of messages that speak for the environment.
 SOFT_TEXTS = ["timed out", "超时", "network is unreachable", "temporary failure", "name or service not known", "nodename nor servname", "connection reset", "remote end closed connection", "connection refused", "connection aborted", "ssl", "certificate", "temporary", "server returned 5xx"]
+#: Fixed value: status codes in a message that speak for the environment.
 SOFT_CODE = r"\b(?:http\s*)?(?:401|403|407|408|425|429|451|5[0-9][0-9])\b|\b5xx\b"
 STREAK_LIMIT = 3
 
@@ -32,12 +33,12 @@ def soft_failure() -> Column:
 
 
 def decisive_failure() -> Column:
-    """The failure proves that the line is gone: a failing status, no soft evidence, and 404/410 or a failure that is not HTTP's."""
+    """The failure proves that a live source is gone: a failing status, no soft evidence, and 404/410 or a failure that is not HTTP's. Other kinds are never decisive."""
     own = _true(F.col("status").isin("probe_failed", "invalid_config", "invalid_placeholder"))
     failing = own | _true(F.col("status") == "http_error")
     gone = _true(F.col("http_status").isin(HARD_STATUSES))
     by_class = F.when(F.col("failure_class") == "hard", gone | own).when(gone, True).when(F.col("http_status") >= 400, False).otherwise(own)
-    return failing & ~_true(F.col("failure_class").isin("soft", "internal", "unverified")) & ~soft_failure() & by_class
+    return _true(F.col("kind") == "live") & failing & ~_true(F.col("failure_class").isin("soft", "internal", "unverified")) & ~soft_failure() & by_class
 
 
 def attempts_verdict(attempts: DataFrame, key: str) -> DataFrame:
@@ -80,10 +81,10 @@ def host_incidents(checks: DataFrame, least: int = 6, hard_least: int = 3) -> Da
 
 def circuit_breaker(checks: DataFrame, **thresholds) -> DataFrame:
     """checks whose failing rows on a host with an incident become `upstream_incident` with class soft."""
-    bad = host_incidents(checks, **thresholds).select(F.col("host").alias("_h"))
-    marked = checks.join(bad, checks["host"] == bad["_h"], "left")
+    bad = host_incidents(checks, **thresholds).select("host", F.col("rows").alias("_n"), F.lit(True).alias("_h"))
+    marked = attach_group_facts(checks, bad, ["host"], "_n", how="left").drop("_n")
     hit = F.col("_h").isNotNull() & F.col("status").isin("http_error", "probe_failed") & F.col("kind").isin("channel", "live")
-    return marked.withColumns({"status": F.when(hit, "upstream_incident").otherwise(F.col("status")), "failure_class": F.when(hit, "soft").otherwise(F.col("failure_class"))}).drop("_h")
+    return marked.withColumns({"status": F.when(hit, "upstream_incident").otherwise(F.col("status")), "failure_class": F.when(hit, "soft").otherwise(F.col("failure_class"))}).select(*checks.columns)
 
 
 def verdict(streak: Column, internal: Column, whitelisted: Column, limit: int = STREAK_LIMIT) -> Column:

@@ -2,36 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from playweave.common import table
 from playweave.functions import payload, text, urls
 from playweave.operators import dedup, health, ranking
 from playweave.operators import ledger as ledgers
+from playweave.plans.registry import QUERIES, SQL, query
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 #: An address without the blanks of any kind around it, in SQL.
 _URL = r"regexp_replace(url, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')"
 MIRRORS = ["https://mirror.example/", "https://raw.lowmoor.example/"]
 
 
-def query(sql: str | None = None):
-    """Register a function (spark, table reader) under its name, with its SQL."""
-
-    def add(f):
-        QUERIES[f.__name__] = lambda spark, d: f(spark, lambda name: table(spark, d, name))
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 # --- ledger and inventories
 
 @query("""SELECT channel_key, arg_min(name, row_id) FILTER (WHERE true) AS first_name, count(*) AS line_count, array_to_string(list_sort(list(DISTINCT source)), '|') AS sources,
@@ -110,10 +93,17 @@ def content_dedup_min_rank(spark, t):
 
 @query()
 def plugin_files_dedup(spark, t):
-    """One name for each different plugin file: the shortest; whether it is a valid plugin is told by its syntax tree."""
+    """One name for each different plugin file, the first by rank; whether it is a valid plugin is told once for each content."""
     files = t("source_results").select(F.explode("python_files").alias("name", "data")).filter("data IS NOT NULL").withColumn("digest", payload.content_digest(F.col("data")))
-    one = dedup.by_content(files, F.col("digest"), [F.length("name"), F.lower("name"), F.col("name")])
-    return one.select("digest", "name", payload.is_plugin("data").alias("valid"))
+    names = files.groupBy("digest").agg(F.min(payload.name_rank(F.col("name")))["name"].alias("name"))
+    valid = files.dropDuplicates(["digest"]).select("digest", payload.is_plugin("data").alias("valid"))
+    return names.join(valid, "digest").select("digest", "name", "valid")
+
+
+@query(r"""SELECT name, count(*) AS copies, min(octet_length(data)) AS least, max(octet_length(data)) AS most FROM (SELECT unnest(map_keys(python_files)) AS name, unnest(map_values(python_files)) AS data FROM source_results) WHERE data IS NOT NULL GROUP BY name""")
+def plugin_names(spark, t):
+    files = t("source_results").select(F.explode("python_files").alias("name", "data")).filter("data IS NOT NULL")
+    return files.groupBy("name").agg(F.count(F.lit(1)).alias("copies"), F.min(F.octet_length("data")).cast("bigint").alias("least"), F.max(F.octet_length("data")).cast("bigint").alias("most"))
 
 
 @query("SELECT p_brand, p_name, count(*) AS n FROM part GROUP BY p_brand, p_name HAVING count(*) > 1")
@@ -140,16 +130,10 @@ def proxy_strip(spark, t):
 
 
 @query(r"""SELECT row_id, CASE WHEN kept <> '' THEN place || '?' || kept ELSE place END AS url FROM (SELECT row_id, regexp_extract(b, '^([^?]*)', 1) AS place,
-  array_to_string(list_filter(string_split(regexp_extract(b, '\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_replace(lower(regexp_extract(p, '^([^=]*)', 1)), '[^a-z0-9]', '', 'g') IN (""" + ", ".join(f"'{n}'" for n in urls.SENSITIVE_NAMES) + r""")), '&') AS kept
-  FROM (SELECT row_id, regexp_replace(regexp_replace(url, '#.*$', ''), '^([A-Za-z][A-Za-z0-9+.\-]*://)[^/?@]*@', '\1') AS b FROM channels WHERE url NOT LIKE '%' || chr(10) || '%'))""")
+  array_to_string(list_filter(string_split(regexp_extract(b, '(?s)\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_replace(lower(url_decode(regexp_extract(p, '^([^=]*)', 1))), '[^a-z0-9]', '', 'g') IN (""" + ", ".join(f"'{n}'" for n in urls.SENSITIVE_NAMES) + r""")), '&') AS kept
+  FROM (SELECT row_id, regexp_replace(regexp_replace(""" + _URL + r""", '(?s)#.*$', ''), '^([A-Za-z][A-Za-z0-9+.\-]*://)[^/?@]*@', '\1') AS b FROM channels))""")
 def safe_url(spark, t):
-    return t("channels").filter(~F.col("url").contains("\n")).select("row_id", urls.safe(F.col("url")).alias("url"))
-
-
-@query()
-def safe_url_all(spark, t):
-    """Every row, also those with line feeds and null addresses, which the SQL of safe_url leaves out; blanks at both ends are cut."""
-    return t("channels").select("row_id", urls.safe(urls.trimmed(F.col("url"))).alias("url"))
+    return t("channels").select("row_id", urls.safe(F.col("url")).alias("url"))
 
 
 @query("SELECT row_id, CASE WHEN n LIKE '%8k%' THEN '8K' WHEN regexp_matches(n, '4k|uhd') THEN '4K' WHEN regexp_matches(n, '超高清|超清') THEN '超清' WHEN regexp_matches(n, '1080p|fhd') THEN '1080P' WHEN regexp_matches(n, '720p') THEN '720P' WHEN regexp_matches(n, '高清|hd') THEN '高清' WHEN n LIKE '%标清%' THEN '标清' ELSE '' END AS label FROM (SELECT row_id, lower(name) AS n FROM channels WHERE name IS NOT NULL)")
@@ -157,24 +141,58 @@ def quality_label(spark, t):
     return t("channels").filter("name IS NOT NULL").select("row_id", text.quality(F.col("name")).alias("label"))
 
 
-_FOLDED = f"trim(regexp_replace(translate(replace(group_name, '　', ' '), '{text.TRADITIONAL}', '{text.SIMPLIFIED}'), '[ \\t\\n\\r]+', ' ', 'g'))"
+_FOLDED = f"trim(regexp_replace(translate(replace(name, '　', ' '), '{text.TRADITIONAL}', '{text.SIMPLIFIED}'), '[ \\t\\n\\r]+', ' ', 'g'))"
 _CUT = f"regexp_replace(regexp_replace({_FOLDED}, '(?i)(?:[ \\-_·]*(?:{text.SUFFIX}))+[ \\-_·]*$', ''), '^[ \\-_·]+|[ \\-_·]+$', '', 'g')"
 
 
-@query(f"SELECT row_id, CASE WHEN c <> '' THEN c ELSE trim(group_name) END AS folded FROM (SELECT row_id, group_name, {_CUT} AS c FROM channels WHERE group_name IS NOT NULL)")
+@query(f"SELECT row_id, CASE WHEN c <> '' THEN c ELSE trim(name) END AS folded FROM (SELECT row_id, name, {_CUT} AS c FROM channels)")
 def name_normalise(spark, t):
-    return t("channels").filter("group_name IS NOT NULL").select("row_id", text.fold_name(F.col("group_name")).alias("folded"))
+    return t("channels").select("row_id", text.fold_name(F.col("name")).alias("folded"))
+
+
+@query(f"SELECT row_id, regexp_replace(lower(folded), '{text.SEPARATORS}', '', 'g') AS identity FROM ({SQL['name_normalise']})")
+def name_identity(spark, t):
+    return t("channels").select("row_id", text.identity(F.col("name")).alias("identity"))
+
+
+def _redacted(c: str) -> str:
+    out = rf"regexp_replace({c}, '{text.USERINFO}', '\1<redacted>@', 'g')"
+    out = rf"""regexp_replace({out}, '([?&;])((?i:{urls.NAME_PATTERN}))=([^&#\s"''<>]*)', '\1\2=<redacted>', 'g')"""
+    return rf"regexp_replace(regexp_replace({out}, '{text.HEADER}', '\1: <redacted>', 'g'), '{text.BEARER}', 'Bearer <redacted>', 'g')"
+
 
+#: Texts with every form of credential made out of the tables' own values: addresses with userinfo and parameters, headers, bearer values.
+_SPIKED = """SELECT check_id, coalesce(detail, '') || ' see https://u' || check_id || ':p' || row_id || '@' || coalesce(host, 'h') || '/a?id=' || row_id || '&access_token=' || url_hash || ';sign=' || check_id || ' Authorization: tok' || check_id || ' then Bearer ' || url_hash || ' secret=' || coalesce(status, 'null') AS text FROM health_items"""
 
-@query(r"""SELECT doc_id, regexp_replace(regexp_replace(text, '(?i)\b(https?://)[^/@\s]+@', '\1<redacted>@', 'g'), '(?i)\b(?:bearer|basic)\s+[A-Za-z0-9._~+/=\-]{8,}', 'Bearer <redacted>', 'g') AS redacted FROM documents WHERE text IS NOT NULL""")
+
+def _spiked(t):
+    parts = [F.coalesce("detail", F.lit("")), F.lit(" see https://u"), F.col("check_id"), F.lit(":p"), F.col("row_id"), F.lit("@"), F.coalesce("host", F.lit("h")), F.lit("/a?id="), F.col("row_id"), F.lit("&access_token="), F.col("url_hash"), F.lit(";sign="), F.col("check_id"), F.lit(" Authorization: tok"), F.col("check_id"), F.lit(" then Bearer "), F.col("url_hash"), F.lit(" secret="), F.coalesce("status", F.lit("null"))]
+    return t("health_items").select("check_id", F.concat(*parts).alias("text"))
+
+
+@query(f"SELECT doc_id AS id, {_redacted('text')} AS redacted FROM documents UNION ALL SELECT check_id, {_redacted('text')} FROM ({_SPIKED})")
 def redact_text(spark, t):
-    return t("documents").filter("text IS NOT NULL").select("doc_id", text.redact(F.col("text")).alias("redacted"))
+    rows = t("documents").select(F.col("doc_id").alias("id"), "text").unionByName(_spiked(t).withColumnRenamed("check_id", "id"))
+    return rows.select("id", text.redact_places(F.col("text")).alias("redacted"))
+
+
+@query()
+def redact_pairs(spark, t):
+    """Bare pairs too: their rule looks back and ahead, which the SQL's regular expressions cannot."""
+    return _spiked(t).select("check_id", text.redact(F.col("text")).alias("redacted"))
+
 
+_V = r"""regexp_replace(v, '^[\s"'']+|[\s"'']+$', '', 'g')"""
+_MEANS = f"(lower({_V}) NOT IN ({', '.join(repr(x) for x in text.PUBLIC)}) AND NOT regexp_matches({_V}, '{text.PLACEHOLDER}') AND length({_V}) >= 3)"
+_SOME = lambda pattern: "len(list_filter(regexp_extract_all(d, '" + pattern.replace("'", "''") + f"', 2), lambda v: {_MEANS})) > 0"
 
-@query(r"SELECT check_id, regexp_matches(url, '(?i)https?://[^/@\s]+@') AS userinfo, regexp_matches(url, '(?i)[?&;](?:token|sign|auth|key)=[^&#\s]{3,}') AS query FROM health_items WHERE url IS NOT NULL")
+
+@query(f"""SELECT id, regexp_matches(d, '{text.USERINFO}') AS userinfo, {_SOME(text.PARAMETER)} AS query, {_SOME(text.PAIR)} AS value, regexp_matches(d, '{text.HEADER}') AS header, regexp_matches(d, '{text.BEARER}') AS bearer
+  FROM (SELECT doc_id AS id, url_decode(replace(text, '+', '%2B')) AS d FROM documents WHERE text IS NOT NULL UNION ALL SELECT check_id, url_decode(replace(text, '+', '%2B')) FROM ({_SPIKED}) WHERE text IS NOT NULL UNION ALL SELECT -check_id, url_decode(replace(url, '+', '%2B')) FROM health_items WHERE url IS NOT NULL)""")
 def credential_findings(spark, t):
-    labels = text.finding_labels(F.col("url"))
-    return t("health_items").filter("url IS NOT NULL").select("check_id", F.array_contains(labels, "url-userinfo").alias("userinfo"), F.array_contains(labels, "query").alias("query"))
+    rows = t("documents").select(F.col("doc_id").alias("id"), "text").unionByName(_spiked(t).withColumnRenamed("check_id", "id")).unionByName(t("health_items").select((-F.col("check_id")).alias("id"), F.col("url").alias("text")))
+    rows = rows.filter("text IS NOT NULL").select("id", text.finding_labels(F.col("text")).alias("labels"))
+    return rows.select("id", *(F.array_contains("labels", k).alias(n) for n, k in (("userinfo", "url-userinfo"), ("query", "query"), ("value", "value"), ("header", "credential-header"), ("bearer", "bearer-token"))))
 
 
 @query("""SELECT doc_id, upper(substr(text, 1, 2048)) LIKE '%#EXTM3U%' AS m3u,
@@ -239,7 +257,7 @@ _DETAIL = "lower(detail)"
 _SOFT = f"(coalesce(http_status IN ({', '.join(map(str, health.SOFT_STATUSES))}), false) OR coalesce(http_status >= 500, false) OR coalesce(failure_class = 'soft', false) OR coalesce(regexp_matches({_DETAIL}, '{health.SOFT_CODE}') OR " + " OR ".join(f"contains({_DETAIL}, '{x}')" for x in health.SOFT_TEXTS) + ", false))"
 _OWN = "coalesce(status IN ('probe_failed', 'invalid_config', 'invalid_placeholder'), false)"
 _GONE = "coalesce(http_status IN (404, 410), false)"
-_DECISIVE = f"(({_OWN} OR coalesce(status = 'http_error', false)) AND NOT coalesce(failure_class IN ('soft', 'internal', 'unverified'), false) AND NOT {_SOFT} AND CASE WHEN failure_class = 'hard' THEN {_GONE} OR {_OWN} WHEN {_GONE} THEN true WHEN http_status >= 400 THEN false ELSE {_OWN} END)"
+_DECISIVE = f"(coalesce(kind = 'live', false) AND ({_OWN} OR coalesce(status = 'http_error', false)) AND NOT coalesce(failure_class IN ('soft', 'internal', 'unverified'), false) AND NOT {_SOFT} AND CASE WHEN failure_class = 'hard' THEN {_GONE} OR {_OWN} WHEN {_GONE} THEN true WHEN http_status >= 400 THEN false ELSE {_OWN} END)"
 
 
 @query("SELECT status, count(*) AS n FROM health_items GROUP BY status")
@@ -305,10 +323,26 @@ def host_failure_share(spark, t):
 _HARD = f"(coalesce(failure_class = 'hard', false) AND NOT coalesce(status = 'upstream_incident', false) AND NOT {_SOFT})"
 
 
-@query(f"""SELECT check_id, CASE WHEN status = 'upstream_incident' THEN 'observe_upstream' WHEN host LIKE '%.veltra.example' THEN 'whitelisted' WHEN {_HARD} AND attempts >= 3 THEN 'candidate_remove' WHEN {_HARD} THEN 'observe'
-  WHEN {_SOFT} OR coalesce(status IN ('playback_unverified', 'manifest_ok', 'upstream_incident', 'skip_internal'), false) THEN 'observe_soft' ELSE 'keep' END AS verdict FROM health_items""")
+_HOST = r"lower(regexp_extract(url, '^\s*[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1))"
+_INTERNAL = rf"coalesce(regexp_matches({_HOST}, '^(?:0|10|127)\.\d+\.\d+\.\d+$|^192\.168\.\d+\.\d+$|^172\.(?:1[6-9]|2\d|3[01])\.\d+\.\d+$|^169\.254\.\d+\.\d+$|^2[4-5]\d\.\d+\.\d+\.\d+$|^localhost$') OR {' OR '.join(f"suffix({_HOST}, '{x}')" for x in urls.INTRANET_SUFFIXES)} OR {' OR '.join(f"contains({_HOST}, '{x}')" for x in urls.INTRANET_MARKERS)}, false)"
+#: Every tenth address of the table made an internal one, so that each rule is met.
+_SHIFTED = "SELECT * REPLACE (CASE check_id % 10 WHEN 0 THEN 'http://192.168.1.' || (check_id % 250) || ':80/a' WHEN 1 THEN 'http://rrs03.hw.gmcc.net/' || check_id WHEN 2 THEN 'http://10.0.0.1/x' ELSE url END AS url) FROM health_items"
+
+
+def _shifted(t):
+    moved = F.when(F.col("check_id") % 10 == 0, F.concat(F.lit("http://192.168.1."), F.col("check_id") % 250, F.lit(":80/a"))).when(F.col("check_id") % 10 == 1, F.concat(F.lit("http://rrs03.hw.gmcc.net/"), "check_id")).when(F.col("check_id") % 10 == 2, "http://10.0.0.1/x")
+    return t("health_items").withColumn("url", moved.otherwise(F.col("url")))
+
+
+@query(f"SELECT check_id, {_INTERNAL} AS internal FROM ({_SHIFTED})")
+def internal_hosts(spark, t):
+    return _shifted(t).select("check_id", urls.is_internal(F.col("url")).alias("internal"))
+
+
+@query(f"""SELECT check_id, CASE WHEN {_INTERNAL} THEN 'skip_internal' WHEN status = 'upstream_incident' THEN 'observe_upstream' WHEN host LIKE '%.veltra.example' THEN 'whitelisted' WHEN {_HARD} AND attempts >= 3 THEN 'candidate_remove' WHEN {_HARD} THEN 'observe'
+  WHEN {_SOFT} OR coalesce(status IN ('playback_unverified', 'manifest_ok', 'upstream_incident', 'skip_internal'), false) THEN 'observe_soft' ELSE 'keep' END AS verdict FROM ({_SHIFTED})""")
 def verdict_cascade(spark, t):
-    return t("health_items").select("check_id", health.verdict(F.col("attempts"), urls.is_internal(F.col("url")), F.coalesce(F.col("host").endswith(".veltra.example"), F.lit(False))).alias("verdict"))
+    return _shifted(t).select("check_id", health.verdict(F.col("attempts"), urls.is_internal(F.col("url")), F.coalesce(F.col("host").endswith(".veltra.example"), F.lit(False))).alias("verdict"))
 
 
 @query("""SELECT coalesce(c.url, p.url) AS url, coalesce(c.status, p.status) AS status, CASE WHEN c.url IS NOT NULL THEN c.check_id ELSE p.check_id END AS check_id FROM

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from playweave.functions.urls import resolve_all
 from playweave.operators.ranking import global_rank
 
 
@@ -14,51 +15,92 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("text"))
 
 
-def _lines(texts: DataFrame) -> DataFrame:
-    rows = texts.select("source", F.posexplode(F.split("text", r"\r?\n")).alias("pos", "line"))
-    return rows.withColumn("line", F.regexp_replace("line", r"^[\s﻿]+|\s+$", "")).filter("line <> ''")
+def _split(text: Column) -> Column:
+    """Lines of a text without blanks around them and without a byte-order mark."""
+    return F.transform(F.split(text, r"\r?\n|\r"), lambda x: F.regexp_replace(x, r"^[\s\ufeff]+|\s+$", ""))
 
 
 def line_list(texts: DataFrame) -> DataFrame:
     """(source, line_no, value): the lines of a list, from 1, without comments and blanks."""
-    return _lines(texts).filter(~F.col("line").startswith("#")).select("source", (F.col("pos") + 1).alias("line_no"), F.col("line").alias("value"))
+    rows = texts.select("source", F.posexplode(_split(F.col("text"))).alias("pos", "line")).filter("line <> ''")
+    return rows.filter(~F.col("line").startswith("#")).select("source", (F.col("pos") + 1).alias("line_no"), F.col("line").alias("value"))
+
+
+#: Fixed value: how an attribute stands in an #EXTINF line.
+ATTRIBUTE = r'(?i)(?:^|[\s,]){name}="([^"]*)"'
 
 
 def attribute(line: Column, name: str) -> Column:
     """name="value" of an EXTINF line, in any case; empty if it is not there."""
-    return F.regexp_extract(line, rf'(?i)(?:^|[\s,]){name}="([^"]*)"', 1)
+    return F.trim(F.regexp_extract(line, ATTRIBUTE.replace("{name}", name), 1))
+
+
+def _with_before(lines: Column) -> Column:
+    """Neighbours within one text: an array of (line, the line before it)."""
+    before = F.concat(F.array(F.lit("")), F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0))))
+    return F.arrays_zip(lines.alias("line"), F.slice(before, 1, F.size(lines)).alias("before"))
 
 
 def m3u(texts: DataFrame, schemes: str = r"[A-Za-z][A-Za-z0-9+.\-]*") -> DataFrame:
     """(source, pos, name, url, group_raw, logo, tvg_id): each #EXTINF line with the address that follows it.
 
-    An address uses up the line before it; a later #EXTINF replaces an earlier one; addresses without a name are dropped.
+    An address uses up the line before it; a later #EXTINF replaces an earlier one; addresses without a name, also those whose
+    #EXTINF has no comma, are dropped. Lines meet within their own text, so nothing is shuffled and texts of one source never mix.
     """
-    rows = _lines(texts).filter(F.col("line").rlike(rf"(?i)^#EXTINF|^{schemes}://"))
-    before = F.lag("line").over(W.partitionBy("source").orderBy("pos"))
-    paired = rows.withColumn("info", before).filter(F.col("line").rlike(f"^{schemes}://") & F.col("info").rlike("(?i)^#EXTINF"))
+    kept = F.filter(_split(F.col("text")), lambda x: x.rlike(rf"(?i)^#EXTINF|^{schemes}://"))
+    held = texts.select("source", kept.alias("kept")).filter("kept IS NOT NULL AND size(kept) > 1")
+    pairs = held.select("source", F.posexplode(_with_before(F.col("kept"))).alias("pos", "p")).select("source", "pos", F.col("p")["line"].alias("line"), F.col("p")["before"].alias("info"))
+    paired = pairs.filter(F.col("line").rlike(f"^{schemes}://") & F.col("info").rlike("(?i)^#EXTINF.*,"))
     name = F.trim(F.substring_index("info", ",", -1))
     return paired.select("source", "pos", name.alias("name"), F.col("line").alias("url"), attribute(F.col("info"), "group-title").alias("group_raw"), attribute(F.col("info"), "tvg-logo").alias("logo"), attribute(F.col("info"), "tvg-id").alias("tvg_id")).filter("name <> ''")
 
 
-def txt(texts: DataFrame) -> DataFrame:
-    """(source, pos, name, url, group_raw): `name,address` lines; a `group,#genre#` line sets the group of those after it."""
-    rows = _lines(texts).filter(~F.col("line").rlike("^(?:#|//)") & F.col("line").contains(","))
-    mark = F.when(F.col("line").rlike(r"(?i),\s*#genre#"), F.trim(F.substring_index("line", ",", 1)))
-    group = F.last(mark, ignorenulls=True).over(W.partitionBy("source").orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
-    with_group = rows.withColumn("group_raw", F.coalesce(group, F.lit("")))
+def txt(texts: DataFrame, schemes: str = "https?|rtmp|rtsp|rtp|udp") -> DataFrame:
+    """(source, pos, name, url, group_raw, source_section): `name,address` lines; a line with #genre# sets the group and section of those after it.
+
+    `section,#genre#` names a section that is its own group, `section,group#genre#` both, `#genre#group` a group alone. A text is
+    cut at these lines, so that no line has to look back for its group; pos orders the lines of a text.
+    """
+    mark = r"(?m)^[^\n]*#genre#[^\n]*$"
+    text = F.regexp_replace("text", r"\r\n?", "\n")
+    marks = F.concat(F.array(F.lit("")), F.regexp_extract_all(text, F.lit(f"({mark})"), 1))
+    parts = texts.select("source", F.posexplode(F.arrays_zip(marks.alias("mark"), F.split(text, mark).alias("body"))).alias("part", "p"))
+    rows = parts.select("source", "part", F.regexp_replace(F.col("p")["mark"], r"^[\s\ufeff]+|\s+$", "").alias("mark"), F.posexplode(_split(F.col("p")["body"])).alias("n", "line"))
+    edges = lambda c: F.regexp_replace(c, "^[ ,]+|[ ,]+$", "")
+    alone = F.col("mark").startswith("#genre#")
+    head = F.trim(F.substring_index("mark", ",", 1))
+    rest = edges(F.replace(F.regexp_extract("mark", r"^[^,]*,(.*)$", 1), F.lit("#genre#"), F.lit("")))
+    section = F.when(alone, F.lit("")).when(F.contains("mark", F.lit(",")), head).otherwise(F.trim("mark"))
+    group = F.when(alone, edges(F.substring("mark", 8, 1 << 20))).when(rest != "", rest).otherwise(section)
     url = F.trim(F.regexp_extract("line", r"^[^,]*,(.*)$", 1))
-    return with_group.select("source", "pos", F.trim(F.substring_index("line", ",", 1)).alias("name"), url.alias("url"), "group_raw").filter(F.col("url").rlike(r"(?i)^[a-z][a-z0-9+.\-]*://") & (F.col("name") != ""))
+    out = rows.filter(~F.col("line").startswith("#") & F.col("line").contains(","))
+    out = out.select("source", (F.col("part").cast("bigint") * (1 << 32) + F.col("n")).alias("pos"), F.trim(F.substring_index("line", ",", 1)).alias("name"), url.alias("url"), group.alias("group_raw"), section.alias("source_section"))
+    return out.filter(F.col("url").rlike(f"(?i)^(?:{schemes})://") & (F.col("name") != ""))
 
 
 def hls(manifests: DataFrame) -> DataFrame:
-    """(source, kind, reference): variants (the line after #EXT-X-STREAM-INF), initialisation maps and segments of HLS manifests."""
-    rows = _lines(manifests)
-    before = F.lag("line").over(W.partitionBy("source").orderBy("pos"))
-    r = rows.withColumn("b", F.coalesce(before, F.lit("")))
-    kind = F.when(F.col("line").startswith("#EXT-X-MAP"), "map").when(F.col("line").startswith("#"), None).when(F.col("b").startswith("#EXT-X-STREAM-INF"), "variant").otherwise("segment")
-    reference = F.when(kind == "map", F.regexp_extract("line", 'URI="([^"]+)"', 1)).otherwise(F.col("line"))
-    return r.select("source", "pos", kind.alias("kind"), reference.alias("reference")).filter("kind IS NOT NULL AND reference <> ''")
+    """(source, pos, kind, reference): variants (the line after #EXT-X-STREAM-INF), initialisation maps and segments of HLS manifests.
+
+    With a column `base`, references are resolved against it, and those that are no http(s) addresses then are left out.
+    """
+    held = manifests.select("source", *(["base"] if "base" in manifests.columns else []), F.filter(_split(F.col("text")), lambda x: x != "").alias("kept")).filter("kept IS NOT NULL")
+    r = held.select(*[c for c in held.columns if c != "kept"], F.posexplode(_with_before(F.col("kept"))).alias("pos", "p")).withColumns({"line": F.col("p")["line"], "b": F.upper(F.col("p")["before"])}).drop("p")
+    upper = F.upper("line")
+    kind = F.when(upper.startswith("#EXT-X-MAP"), "map").when(F.col("line").startswith("#"), None).when(F.col("b").startswith("#EXT-X-STREAM-INF"), "variant").when(F.contains("line", F.lit(",")), None).otherwise("segment")
+    reference = F.when(kind == "map", F.regexp_extract("line", '(?i)URI="([^"]+)"', 1)).otherwise(F.col("line"))
+    out = r.select(*[c for c in held.columns if c != "kept"], "pos", kind.alias("kind"), reference.alias("reference")).filter("kind IS NOT NULL AND reference <> ''")
+    if "base" in manifests.columns:
+        out = out.withColumn("reference", resolve_all("reference", "base")).filter(F.col("reference").rlike("^https?://"))
+    return out
+
+
+def probe_candidates(manifests: DataFrame, variants: int = 3, most: int = 5) -> DataFrame:
+    """(source, rank, reference): what to try of each manifest: its last variants from the end, then its maps and segments, at most `most`."""
+    refs = hls(manifests)
+    is_variant = F.col("kind") == "variant"
+    order = F.when(is_variant, F.struct(F.lit(0).alias("a"), (-F.col("pos")).alias("b"))).otherwise(F.struct(F.lit(1).alias("a"), F.col("pos").alias("b")))
+    own = refs.withColumn("_rn", F.row_number().over(W.partitionBy("source", "kind").orderBy(F.when(is_variant, -F.col("pos")).otherwise(F.col("pos"))))).filter((is_variant & (F.col("_rn") <= variants)) | (~is_variant & (F.col("_rn") <= most)))
+    return own.withColumn("rank", F.row_number().over(W.partitionBy("source").orderBy(order))).filter(F.col("rank") <= most).select("source", "rank", "reference")
 
 
 def to_m3u(channels: DataFrame, order: list[Column]) -> DataFrame:

@@ -19,6 +19,10 @@ def test_urls(spark):
     x = F.col("x")
     assert one(spark, urls.host(x), "HTTP://u:p@Ab.Example:80/x", "no address", None) == ["ab.example", "", None]
     assert one(spark, urls.safe(x), "http://u:p@h/a?id=1&access_token=zz&q=2#f", "http://h/?sign=1", None) == ["http://h/a?id=1&q=2", "http://h/", None]
+    assert one(spark, urls.safe(x), " http://u:p@h/a", "http://h/a?to%6ben=abc&a%zz=1", "http://h/a?x=1&acc%65ss%5Ftoken=1") == ["http://h/a", "http://h/a?a%zz=1", "http://h/a?x=1"]
+    assert one(spark, urls.is_internal(x), "http://[::1]/a", "http://[fd00::1]:80/a", "http://[2606:4700::1]/a", "http://198.18.0.1/") == [True, True, False, True]
+    assert one(spark, urls.raw_address("https://raw.example/o/r/main", x), "py\\a b/中.py") == ["https://raw.example/o/r/main/py/a%20b/%E4%B8%AD.py"]
+    assert one(spark, urls.mirrored(x, ["a.example"], "https://m/"), "https://A.example/x", "https://b.example/x", None) == ["https://m/https://A.example/x", "https://b.example/x", None]
     assert one(spark, urls.is_internal(x), "http://192.168.1.10/a", "http://rrs03.hw.gmcc.net/a", "http://8.8.8.8/", None) == [True, True, False, False]
     assert one(spark, urls.strip_proxy(x, ["https://m/"]), "https://m/https://a/b", "https://m/c") == ["https://a/b", "https://m/c"]
     assert one(spark, urls.requote(x), "http://h/a b/中?q=x y", None) == ["http://h/a%20b/%E4%B8%AD?q=x%20y", None]
@@ -42,7 +46,8 @@ def test_redaction(spark):
     out = one(spark, text.redact(x), *given)
     assert out[0] == "token=<redacted>" and out[1] == "sessionid=<redacted>" and "token=<redacted>" in out[2]
     assert out[3:5] == given[3:5] and out[5] == "http://<redacted>@h/x" and out[6] is None
-    assert one(spark, text.finding_labels(x), "http://u:p@h/?token=abcd") == [["url-userinfo", "query"]]
+    assert one(spark, text.finding_labels(x), "http://u:p@h/?token=abcd", "Token: abc1", "token=null", "x%3Ftoken%3Dabcd", "Authorization: Bearer abcdefgh1", None) == [["url-userinfo", "query"], ["value"], [], ["query"], ["value", "credential-header", "bearer-token"], None]
+    assert one(spark, text.finding_labels(x, "access-token"), "abcd", "{{T}}") == [["field"], []] and one(spark, text.finding_labels(x, "key"), "abcd") == [[]]
 
 
 def test_payload(spark):
@@ -50,6 +55,18 @@ def test_payload(spark):
     assert [r[0] for r in rows.select(payload.decode_text("b")).collect()] == ["a\r\nb", "中文", None]
     wrapped = "ABCDEFGH**" + base64.b64encode(b'{"a": 1}').decode()
     assert one(spark, payload.parse_config(F.col("x")).cast("string"), '{"a":1}', wrapped, "no", None) == ['{"a":1}', '{"a":1}', None, None]
+    odd = "AB_DEF-H**" + base64.encodebytes(b'\xef\xbb\xbf{"a": 1}').decode()
+    assert one(spark, payload.parse_config(F.col("x")).cast("string"), odd, "x" + wrapped, " " + wrapped + " ", "**" + wrapped) == ['{"a":1}', None, '{"a":1}', None]
+    key, iv = b"$k3y", b"0123456789abc"
+    made = spark.range(1).select(F.hex(F.substring(F.aes_encrypt(F.lit(b'{"b": [2, 3], "c": "0123456789"}'), F.lit(key.ljust(16, b"0")), F.lit("CBC"), F.lit("PKCS"), F.lit(iv.ljust(16, b"0"))), 17, 1000))).collect()[0][0]
+    envelope = "2423" + key.hex() + "2324" + made.lower() + iv.hex()
+    assert one(spark, payload.is_encrypted(F.col("x")), envelope, envelope[:-2], "2423", None) == [True, False, False, False]
+    assert one(spark, payload.decrypt(F.col("x")), envelope, envelope.replace("2324", "2325"), None) == ['{"b": [2, 3], "c": "0123456789"}', None, None]
+    assert one(spark, payload.parse_config(F.col("x")).cast("string"), envelope.upper()) == ['{"b":[2,3],"c":"0123456789"}']
+    assert one(spark, payload.file_name(F.col("x")), "https://h/a/b%20c.PY?x=1", "https://h/py/", "https://h/a:b", None) == ["b c.PY", "spider.py", "a_b.py", None]
+    assert [r[0] for r in spark.createDataFrame([(b"a\r\n\xff\x00\r",), (None,)], "b binary").select(payload.unix_lines("b")).collect()] == [b"a\n\xff\x00\r", None]
+    nested = spark.createDataFrame([(b"if True:\n    class Spider:\n        pass\ndef homeContent():\n    pass\n",), ("# \u4e2d\nclass Spider:\n    async def searchContent(self): pass\n".encode("gb18030"),)], "b binary")
+    assert [r[0] for r in nested.select(payload.is_plugin("b")).collect()] == [True, True]
     code = spark.createDataFrame([(b"class Spider:\n    def homeContent(self, f):\n        pass\n",), (b"class Spider: pass",), (b"def (",), (None,)], "b binary")
     assert [r[0] for r in code.select(payload.is_plugin("b")).collect()] == [True, False, False, False]
 
@@ -75,10 +92,10 @@ def test_ranking(spark):
 
 def test_classes(spark):
     schema = "kind string, status string, http_status int, failure_class string, detail string"
-    rows = [("live", "http_error", 403, "", ""), ("live", "probe_failed", None, "", "timed out"), ("live", "http_error", 404, "", ""), ("live", "http_error", 404, "hard", "Server returned 5XX"), ("live", "http_error", 567, "hard", ""), (None, None, None, None, None)]
+    rows = [("channel", "http_error", 404, "hard", ""), ("live", "http_error", 403, "", ""), ("live", "probe_failed", None, "", "timed out"), ("live", "http_error", 404, "", ""), ("live", "http_error", 404, "hard", "Server returned 5XX"), ("live", "http_error", 567, "hard", ""), (None, None, None, None, None)]
     out = spark.createDataFrame(rows, schema).select(health.decisive_failure(), health.soft_failure()).collect()
-    assert [r[0] for r in out] == [False, False, True, False, False, False]
-    assert [r[1] for r in out] == [True, True, False, True, True, False]
+    assert [r[0] for r in out] == [False, False, False, True, False, False, False]
+    assert [r[1] for r in out] == [False, True, True, False, True, True, False]
 
 
 def test_streaks(spark):
@@ -122,14 +139,21 @@ def test_cascade(spark):
 
 
 def test_playlists(spark):
-    m3u = '#EXTM3U\n#EXTINF:-1 group-title="G" tvg-logo="L",Old\n#EXTINF:-1 group-title="H",New, name\nhttp://a/1\nhttp://a/2\n#EXTINF:-1,\nhttp://a/3\n'
-    texts = spark.createDataFrame([("s", m3u), ("t", None), ("e", "")], "source string, text string")
-    assert [(r["name"], r["url"], r["group_raw"]) for r in playlists.m3u(texts).collect()] == [("name", "http://a/1", "H")]
-    txt = spark.createDataFrame([("s", "# c\nfirst,http://a/0\nNews,#genre#\nOne,http://a/1\nbad line\nTwo,rtmp://b/2,x\n")], "source string, text string")
-    assert [(r["name"], r["group_raw"]) for r in playlists.txt(txt).orderBy("pos").collect()] == [("first", ""), ("One", "News"), ("Two", "News")]
-    assert [(r["line_no"], r["value"]) for r in playlists.line_list(txt).orderBy("line_no").collect()][0] == (2, "first,http://a/0")
-    hls = spark.createDataFrame([("m", '#EXTM3U\n#EXT-X-STREAM-INF:BANDWIDTH=1000\nlow/index.m3u8\n#EXT-X-MAP:URI="init.mp4"\nseg.ts')], "source string, text string")
+    m3u = '#EXTM3U\n#EXTINF:-1 group-title="G" tvg-logo="L",Old\n#EXTINF:-1 group-title="H",New, name\nhttp://a/1\nhttp://a/2\n#EXTINF:-1,\nhttp://a/3\n#EXTINF:-1 nothing\nhttp://a/4\n'
+    other = "#EXTM3U\r\n#EXTINF:-1,One\r\n# remark\r\nhttp://b/1\r\n#EXTINF:-1,Two\r\nhttp://b/2\r\n"
+    texts = spark.createDataFrame([("s", m3u), ("s", other), ("s", other), ("t", None), ("e", "")], "source string, text string")
+    assert sorted((r["name"], r["url"], r["group_raw"]) for r in playlists.m3u(texts).collect()) == sorted([("name", "http://a/1", "H")] + 2 * [("One", "http://b/1", ""), ("Two", "http://b/2", "")])
+    assert playlists.m3u(texts.limit(0)).count() == 0
+    txt = spark.createDataFrame([("s", "# c\nfirst,http://a/0\nNews,#genre#\nOne,http://a/1\nbad line\nTwo,rtmp://b/2,x\nSect,Grp#genre#\nThree,http://a/3\n#genre#Alone\nFour,HTTP://a/4"), ("s", "Five,http://a/5"), ("n", None)], "source string, text string")
+    got = [(r["name"], r["group_raw"], r["source_section"]) for r in playlists.txt(txt).orderBy("pos", "name").collect()]
+    assert sorted(got) == sorted([("first", "", ""), ("Five", "", ""), ("One", "News", "News"), ("Two", "News", "News"), ("Three", "Grp", "Sect"), ("Four", "Alone", "")])
+    assert [(r["line_no"], r["value"]) for r in playlists.line_list(txt).filter("value LIKE 'first%'").collect()] == [(2, "first,http://a/0")]
+    hls = spark.createDataFrame([("m", '#EXTM3U\n#EXT-X-STREAM-INF:BANDWIDTH=1000\nlow/index.m3u8\n#EXT-X-MAP:URI="init.mp4"\nseg.ts\na,b')], "source string, text string")
     assert [(r["kind"], r["reference"]) for r in playlists.hls(hls).orderBy("pos").collect()] == [("variant", "low/index.m3u8"), ("map", "init.mp4"), ("segment", "seg.ts")]
+    based = hls.withColumn("base", F.lit("https://example.com/live/master.m3u8"))
+    assert [r["reference"] for r in playlists.hls(based).orderBy("pos").collect()] == ["https://example.com/live/low/index.m3u8", "https://example.com/live/init.mp4", "https://example.com/live/seg.ts"]
+    many = spark.createDataFrame([("m", "".join(f"#EXT-X-STREAM-INF:B={i}\nv{i}\n" for i in range(6)) + "s1\ns2\ns3\ns4\n", "https://h/")], "source string, text string, base string")
+    assert [r["reference"] for r in playlists.probe_candidates(many).orderBy("rank").collect()] == ["https://h/v5", "https://h/v4", "https://h/v3", "https://h/s1", "https://h/s2"]
 
 
 def test_round_trip(spark, tmp_path):
