@@ -425,3 +425,5 @@ def vector_best_match(spark, t):
 @query("SELECT source, min(seen_at) AS first_seen, max(seen_at) AS last_seen, count(*) AS lines, count(DISTINCT channel_key) AS keys FROM channels GROUP BY source")
 def source_activity(spark, t):
     return t("channels").groupBy("source").agg(F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("last_seen"), F.count(F.lit(1)).alias("lines"), F.countDistinct("channel_key").alias("keys"))
+
+from playweave.plans import catalog_state  # noqa: E402, F401  (registers its queries)
