@@ -86,20 +86,25 @@ def is_internal(url: Column) -> Column:
     return F.coalesce(own, F.lit(False))
 
 
+def requoted(address: str) -> str:
+    """Path and query of an address percent-encoded anew; an address that cannot be read stays."""
+    try:
+        p = urlsplit(address)
+    except ValueError:
+        return address
+    return urlunsplit((p.scheme, p.netloc, quote(unquote(p.path), safe="/%:@!$&'()*+,;=~-._"), quote(unquote(p.query), safe="=&%:/?@!$'()*+,;~-._"), p.fragment))
+
+
 @F.pandas_udf(T.StringType())
 def requote(urls: pd.Series) -> pd.Series:
     """Percent-encode path and query anew, so that raw blanks and letters beyond ASCII become legal."""
+    return urls.map(lambda u: None if u is None else requoted(u))
 
-    def one(u):
-        if u is None:
-            return None
-        try:
-            p = urlsplit(u)
-        except ValueError:
-            return u
-        return urlunsplit((p.scheme, p.netloc, quote(unquote(p.path), safe="/%:@!$&'()*+,;=~-._"), quote(unquote(p.query), safe="=&%:/?@!$'()*+,;~-._"), p.fragment))
 
-    return urls.map(one)
+def normalized(url: Column, prefixes: list[str]) -> Column:
+    """An address without blanks around it and without a known proxy's prefix, requoted; ASCII addresses without blanks or percent signs stay in the JVM."""
+    bare = strip_proxy(trimmed(url), prefixes)
+    return F.when(bare.rlike(r"^[!-$&-~]*$"), bare).otherwise(requote(bare))
 
 
 @F.pandas_udf(T.StringType())

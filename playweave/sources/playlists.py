@@ -50,7 +50,7 @@ def m3u(texts: DataFrame, schemes: str = r"[A-Za-z][A-Za-z0-9+.\-]*") -> DataFra
     kept = F.filter(_split(F.col("text")), lambda x: x.rlike(rf"(?i)^#EXTINF|^{schemes}://"))
     held = texts.select("source", kept.alias("kept")).filter("kept IS NOT NULL AND size(kept) > 1")
     pairs = held.select("source", F.posexplode(_with_before(F.col("kept"))).alias("pos", "p")).select("source", "pos", F.col("p")["line"].alias("line"), F.col("p")["before"].alias("info"))
-    paired = pairs.filter(F.col("line").rlike(f"^{schemes}://") & F.col("info").rlike("(?i)^#EXTINF.*,"))
+    paired = pairs.filter(F.col("line").rlike(f"^{schemes}://") & F.col("info").rlike("(?is)^#EXTINF.*,"))
     name = F.trim(F.substring_index("info", ",", -1))
     return paired.select("source", "pos", name.alias("name"), F.col("line").alias("url"), attribute(F.col("info"), "group-title").alias("group_raw"), attribute(F.col("info"), "tvg-logo").alias("logo"), attribute(F.col("info"), "tvg-id").alias("tvg_id")).filter("name <> ''")
 
