@@ -383,12 +383,6 @@ def top_per_source(spark, t):
     return ranking.top_per_group(t("documents").select("source", "doc_id", "n_chars"), ["source"], [F.desc_nulls_last("n_chars"), F.col("doc_id")], 12).select("source", "doc_id", "rn")
 
 
-@query("""SELECT p_partkey, p_name, score FROM (SELECT p_partkey, p_name, CASE WHEN l = 'blue part' THEN 100 WHEN contains(l, 'blue part') THEN 65 WHEN contains(l, 'blue') AND contains(l, 'part') THEN 55 ELSE 40 END - CAST(least(5, floor(abs(length(l) - 9) / 10)) AS INT) AS score
-  FROM (SELECT p_partkey, p_name, lower(trim(p_name)) AS l FROM part) WHERE contains(l, 'blue') OR contains(l, 'part')) ORDER BY score DESC, p_name, p_partkey LIMIT 100""")
-def fuzzy_search_top(spark, t):
-    return ranking.search(t("part").select("p_partkey", "p_name"), "p_name", "blue part").select("p_partkey", "p_name", "score")
-
-
 @query("SELECT event_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS group_id FROM events")
 def forward_fill_group(spark, t):
     w = W.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(W.unboundedPreceding, 0)
@@ -426,4 +420,4 @@ def vector_best_match(spark, t):
 def source_activity(spark, t):
     return t("channels").groupBy("source").agg(F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("last_seen"), F.count(F.lit(1)).alias("lines"), F.countDistinct("channel_key").alias("keys"))
 
-from playweave.plans import catalog_sources, catalog_state  # noqa: E402, F401  (they register their queries)
+from playweave.plans import catalog_media, catalog_sources, catalog_state  # noqa: E402, F401  (they register their queries)
