@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_MADE: list[str] = []
 #: Java regex class of everything that shows as a blank (Unicode separators, controls, the BOM and the zero-width space).
 BLANKS = r"[\s\p{Z}\u0085\u200B\uFEFF]"
 
@@ -29,6 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     path = "file://" + tempfile.mkdtemp(prefix="playweave-")
+    atexit.register(shutil.rmtree, path[7:], True)
     sc.setCheckpointDir(path)
     return path
 
@@ -37,10 +41,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write df as a table in the shared folder and read it back (survives the loss of any executor)."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/playweave/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the tables that this process has materialized so far, once nothing that reads them is needed any more; their number."""
+    n = len(_MADE)
+    while _MADE:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return n
+
+
 def is_blank(c: Column) -> Column:
     """True for null, empty and all-blank strings."""
     return F.coalesce(F.regexp_replace(c, BLANKS, "") == "", F.lit(True))

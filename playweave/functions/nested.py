@@ -75,7 +75,7 @@ def means(value: str) -> bool:
 
 def labels(field: str, value: str) -> list[str]:
     """Labels of the credential rules that fire on a string under a field; never values."""
-    d, out = unquote(value), []
+    d, out = unquote(value).replace("<redacted>@", ""), []
     if flat_name(field) in _SENSITIVE and flat_name(field) != "key" and means(value):
         out.append("field")
     if _USERINFO.search(d):

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from playweave.common import path_exists
 from playweave.functions import urls
 
 #: Sections of a rule file and their types.
@@ -64,8 +65,7 @@ def cascade(columns: dict[str, Column], stages: list[Stage], default: str) -> Co
 
 def load_rules(spark: SparkSession, path: str) -> dict:
     """A rule file: every section present, of its type; a missing file gives empty rules, a malformed one raises."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    if not path_exists(spark, path):
         return {k: kind() for k, kind in RULE_TYPES.items()}
     try:
         value = json.loads(spark.read.text(path, wholetext=True).first()[0].lstrip("﻿"))

@@ -188,7 +188,7 @@ _SOME = lambda pattern: "len(list_filter(regexp_extract_all(d, '" + pattern.repl
 
 
 @query(f"""SELECT id, regexp_matches(d, '{text.USERINFO}') AS userinfo, {_SOME(text.PARAMETER)} AS query, {_SOME(text.PAIR)} AS value, regexp_matches(d, '{text.HEADER}') AS header, regexp_matches(d, '{text.BEARER}') AS bearer
-  FROM (SELECT doc_id AS id, url_decode(replace(text, '+', '%2B')) AS d FROM documents WHERE text IS NOT NULL UNION ALL SELECT check_id, url_decode(replace(text, '+', '%2B')) FROM ({_SPIKED}) WHERE text IS NOT NULL UNION ALL SELECT -check_id, url_decode(replace(url, '+', '%2B')) FROM health_items WHERE url IS NOT NULL)""")
+  FROM (SELECT doc_id AS id, replace(url_decode(replace(text, '+', '%2B')), '<redacted>@', '') AS d FROM documents WHERE text IS NOT NULL UNION ALL SELECT check_id, replace(url_decode(replace(text, '+', '%2B')), '<redacted>@', '') FROM ({_SPIKED}) WHERE text IS NOT NULL UNION ALL SELECT -check_id, replace(url_decode(replace(url, '+', '%2B')), '<redacted>@', '') FROM health_items WHERE url IS NOT NULL)""")
 def credential_findings(spark, t):
     rows = t("documents").select(F.col("doc_id").alias("id"), "text").unionByName(_spiked(t).withColumnRenamed("check_id", "id")).unionByName(t("health_items").select((-F.col("check_id")).alias("id"), F.col("url").alias("text")))
     rows = rows.filter("text IS NOT NULL").select("id", text.finding_labels(F.col("text")).alias("labels"))

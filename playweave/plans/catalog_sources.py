@@ -15,7 +15,7 @@ _SITES = "(SELECT result_id, source, unnest(sites) AS j FROM source_results)"
 _LIVES = "(SELECT result_id, source, unnest(lives) AS j FROM source_results)"
 _NAME = "(?i:" + urls.NAME_PATTERN + ")"
 _MEANS = lambda c: f"""(lower(regexp_replace({c}, '^[\\s"'']+|[\\s"'']+$', '', 'g')) NOT IN ({', '.join(repr(x) for x in text.PUBLIC)}) AND NOT regexp_matches(regexp_replace({c}, '^[\\s"'']+|[\\s"'']+$', '', 'g'), '{text.PLACEHOLDER}') AND length(regexp_replace({c}, '^[\\s"'']+|[\\s"'']+$', '', 'g')) >= 3)"""
-_D = "url_decode(replace(s, '+', '%2B'))"
+_D = "replace(url_decode(replace(s, '+', '%2B')), '<redacted>@', '')"
 _SOME = lambda pattern: "len(list_filter(regexp_extract_all(" + _D + ", '" + pattern.replace("'", "''") + f"', 2), lambda v: {_MEANS('v')})) > 0"
 _FLAT = "regexp_replace(lower(field), '[^a-z0-9]', '', 'g')"
 _RULES = {

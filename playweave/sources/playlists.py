@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from playweave.common import path_exists
+from playweave.functions import payload
 from playweave.functions.urls import resolve_all
 from playweave.operators.ranking import global_rank
 
@@ -117,8 +119,9 @@ def write_m3u(channels: DataFrame, path: str, order: list[Column]) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with every cell quoted."""
-    df.write.csv(path, header=True, quoteAll=True, escape='"', lineSep="\n")
+    """CSV with every cell quoted, quotes doubled; the header begins with a byte-order mark, by which spreadsheets know UTF-8."""
+    first, *others = df.columns
+    df.select(F.col(f"`{first}`").alias(f"\ufeff{first}"), *(F.col(f"`{c}`") for c in others)).write.csv(path, header=True, quoteAll=True, escape='"', lineSep="\n")
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -127,8 +130,7 @@ def write_json(df: DataFrame, path: str) -> None:
 
 def read_state(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
     """A JSON state table; a missing folder is an empty table unless strict, broken records are null unless strict."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not strict and not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    if not strict and not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).json(path, mode="FAILFAST" if strict else "PERMISSIVE")
 
@@ -136,3 +138,19 @@ def read_state(spark: SparkSession, path: str, schema: str, strict: bool = False
 def read_plugins(spark: SparkSession, path: str) -> DataFrame:
     """(path, content) of the Python files in a folder."""
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.py").load(path).select("path", "content")
+
+
+def plugin_files(files: DataFrame) -> DataFrame:
+    """Files (path, content) with name, digest, whether they are valid plugins, and `role`: keep for the first name of each valid content, duplicate for its others, invalid for the rest."""
+    name = F.regexp_extract("path", r"([^/]*)$", 1)
+    rows = files.withColumns({"name": name, "digest": payload.content_digest(F.col("content"))})
+    valid = rows.dropDuplicates(["digest"]).select("digest", payload.is_plugin("content").alias("valid"))
+    first = rows.groupBy("digest").agg(F.min(F.struct(payload.name_rank(F.col("name")), "path"))["path"].alias("_first"))
+    role = F.when(~F.col("valid"), "invalid").when(F.col("path") == F.col("_first"), "keep").otherwise("duplicate")
+    return rows.join(valid, "digest").join(first, "digest").withColumn("role", role).drop("_first")
+
+
+def quarantine(files: DataFrame, path: str) -> None:
+    """Duplicates are added to a table of their own, named with their digest; nothing is deleted."""
+    stem = F.regexp_replace("name", r"\.py$", "")
+    files.filter("role = 'duplicate'").select(F.concat(stem, F.lit("-"), F.substring("digest", 1, 10), F.lit(".py")).alias("name"), "path", "digest", "content").write.mode("append").parquet(path)

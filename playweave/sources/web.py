@@ -5,33 +5,83 @@ from __future__ import annotations
 import time
 import urllib.error
 import urllib.request
+from dataclasses import dataclass, field
+from urllib.parse import quote, urlsplit
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-SCHEMA = "source string, status int, content_type string, effective_url string, data binary, error string"
+SCHEMA = "source string, status int, content_type string, effective_url string, data binary, error string, via_relay boolean, redirects array<string>, attempts int"
 
 
-def attempt(url: str, candidates: list[str], retries: int = 3, timeout: float = 30.0, limit: int = 32 << 20, opener=urllib.request.urlopen, pause: float = 0.0) -> tuple:
-    """First answer of the candidates, each tried `retries` times: (status, content type, address, data, error). Never raises."""
-    error = "no candidate"
-    for candidate in candidates or [url]:
-        for _ in range(retries):
+@dataclass
+class Answer:
+    """What came back for an address; data is null where nothing usable did."""
+
+    status: int | None = None
+    content_type: str | None = None
+    url: str = ""
+    data: bytes | None = None
+    error: str | None = None
+    via_relay: bool = False
+    redirects: list[str] = field(default_factory=list)
+    attempts: int = 0
+
+
+class Redirects(urllib.request.HTTPRedirectHandler):
+    """Follows redirects and keeps their addresses."""
+
+    def __init__(self):
+        self.seen: list[str] = []
+
+    def redirect_request(self, req, fp, code, msg, headers, newurl):
+        self.seen.append(newurl)
+        return super().redirect_request(req, fp, code, msg, headers, newurl)
+
+
+def error_label(error: Exception) -> str:
+    """A label of an error without the address it happened at."""
+    if isinstance(error, urllib.error.HTTPError):
+        return f"HTTP {error.code}"
+    if isinstance(error, urllib.error.URLError):
+        return f"URLError: {type(error.reason).__name__}"
+    return type(error).__name__
+
+
+def relay_address(url: str, template: str) -> str | None:
+    """Address of a url at a relay; null for relays that are not https, carry userinfo, or are the address's own host."""
+    parts = urlsplit(template)
+    if parts.scheme != "https" or not parts.netloc or parts.username or parts.password or parts.netloc.lower() == urlsplit(url).netloc.lower():
+        return None
+    encoded = quote(url, safe="")
+    return template.replace("{url}", encoded) if "{url}" in template else template + encoded
+
+
+def attempt(url: str, candidates: list[str], retries: int = 3, timeout: float = 30.0, limit: int = 32 << 20, opener=None, pause: float = 0.0, relay: str = "", agent: str = "okhttp/3.12") -> Answer:
+    """First answer of the candidates, each tried `retries` times, at last that of a relay. Never raises, and never names the relay."""
+    out = Answer(url=url, error="no candidate")
+    at_relay = relay_address(url, relay) if relay else None
+    for candidate, tries in [*((c, retries) for c in candidates or [url]), *([(at_relay, 1)] if at_relay else [])]:
+        for _ in range(tries):
+            out.attempts += 1
+            handler = Redirects()
+            open_ = opener or urllib.request.build_opener(handler).open
             try:
-                with opener(urllib.request.Request(candidate, headers={"User-Agent": "okhttp/3.12"}), timeout=timeout) as r:
+                with open_(urllib.request.Request(candidate, headers={"User-Agent": agent}), timeout=timeout) as r:
                     data = r.read(limit + 1)
-                    if len(data) > limit:
-                        return r.status, r.headers.get("Content-Type"), candidate, None, "too large"
-                    return r.status, r.headers.get("Content-Type"), r.geturl(), data, None
-            except urllib.error.HTTPError as e:
-                error = f"HTTP {e.code}"
+                    out.status, out.content_type, out.redirects, out.via_relay = r.status, r.headers.get("Content-Type"), handler.seen, candidate == at_relay
+                    out.url = url if out.via_relay else r.geturl()
+                    out.data, out.error = (None, "too large") if len(data) > limit else (data, None)
+                    return out
             except Exception as e:  # noqa: BLE001
-                error = type(e).__name__
+                out.error = error_label(e)
+                if isinstance(e, urllib.error.HTTPError):
+                    out.status = e.code
             time.sleep(pause)
-    return None, None, url, None, error
+    return out
 
 
 class WebSource(DataSource):
-    """spark.read.format("playweave-web").option("urls", "a\\nb").option("mirrors", "https://mirror/\\n...").load()"""
+    """spark.read.format("playweave-web").option("urls", "a\\nb").option("mirrors", "https://mirror/\\n...").option("relay", "https://relay/?u={url}").load()"""
 
     @classmethod
     def name(cls) -> str:
@@ -53,13 +103,16 @@ class WebReader(DataSourceReader):
     def __init__(self, options):
         self.urls = [u for u in options.get("urls", "").split("\n") if u.strip()]
         self.mirrors = [m for m in options.get("mirrors", "").split("\n") if m.strip()]
+        self.relay = options.get("relay", "")
         self.retries = int(options.get("retries", "3"))
+        self.timeout = float(options.get("timeout", "30"))
         self.width = int(options.get("parallel", "8"))
 
     def partitions(self):
         return [Part(self.urls[i :: self.width]) for i in range(min(self.width, len(self.urls)))]
 
     def read(self, partition):
-        for u in partition.urls:
-            status, kind, address, data, error = attempt(u, [u, *(m + u for m in self.mirrors)], self.retries)
-            yield (u, status, kind, address, data, error)
+        # Without addresses there is one empty partition.
+        for u in partition.urls if partition else []:
+            a = attempt(u, [u, *(m + u for m in self.mirrors)], self.retries, self.timeout, relay=self.relay)
+            yield (u, a.status, a.content_type, a.url, a.data, a.error, a.via_relay, a.redirects, a.attempts)
