@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from playweave.operators.dedup import keep_first
+from playweave.operators.ordered import streaks
 from playweave.operators.skew import attach_group_facts
 
 #: HTTP statuses that speak for the environment, and those that say that something is gone.
@@ -49,10 +50,8 @@ def attempts_verdict(attempts: DataFrame, key: str) -> DataFrame:
 
 
 def streak_fold(checks: DataFrame, key: str, order: list[str], decisive: Column, reset: Column) -> DataFrame:
-    """checks with `streak`: decisive failures since the last reset, after each check, in order."""
-    w = W.partitionBy(key).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    grouped = checks.withColumn("_g", F.sum(reset.cast("int")).over(w))
-    return grouped.withColumn("streak", F.sum(decisive.cast("int")).over(W.partitionBy(key, "_g").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)).cast("bigint")).drop("_g")
+    """checks with `streak`: decisive failures since the last reset, after each check, in order. A key with very many checks is spread over tasks."""
+    return streaks(checks, key, order, decisive, reset)
 
 
 def streak_state(checks: DataFrame, key: str, order: list[str], decisive: Column, reset: Column, limit: int = STREAK_LIMIT) -> DataFrame:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from playweave.functions import payload, text, urls
-from playweave.operators import dedup, health, ranking
+from playweave.operators import dedup, health, ordered, ranking
 from playweave.operators import ledger as ledgers
 from playweave.plans.registry import QUERIES, SQL, query
 
@@ -385,22 +384,22 @@ def top_per_source(spark, t):
 
 @query("SELECT event_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS group_id FROM events")
 def forward_fill_group(spark, t):
-    w = W.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(W.unboundedPreceding, 0)
-    return t("events").select("event_id", F.last(F.when(F.col("event_type") == "signup", F.col("event_id")), ignorenulls=True).over(w).alias("group_id"))
+    e = t("events").select("event_id", "user_id", "ts", "event_type")
+    return ordered.forward_fill(e, "user_id", ["ts", "event_id"], F.when(F.col("event_type") == "signup", F.col("event_id")), "group_id").select("event_id", "group_id")
 
 
 @query("SELECT event_id, before FROM (SELECT event_id, event_type, lag(event_id) OVER w AS before, lag(event_type) OVER w AS kind FROM events WHERE event_type IN ('view', 'purchase') WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE event_type = 'purchase' AND kind = 'view'")
 def lag_pairing(spark, t):
-    w = W.partitionBy("user_id").orderBy("ts", "event_id")
-    e = t("events").filter(F.col("event_type").isin("view", "purchase")).select("event_id", "event_type", F.lag("event_id").over(w).alias("before"), F.lag("event_type").over(w).alias("kind"))
+    e = t("events").filter(F.col("event_type").isin("view", "purchase")).select("event_id", "user_id", "ts", "event_type")
+    e = ordered.Ordered(e, "user_id", ["ts", "event_id"]).neighbour({"before": F.col("event_id"), "kind": F.col("event_type")})
     return e.filter("event_type = 'purchase' AND kind = 'view'").select("event_id", "before")
 
 
 @query("SELECT event_id, CAST(epoch_us(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) - epoch_us(ts) AS BIGINT) AS gap_us FROM events")
 def gap_next(spark, t):
-    w = W.partitionBy("user_id").orderBy("ts", "event_id")
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    return t("events").select("event_id", (F.lead(us).over(w) - us).alias("gap_us"))
+    e = t("events").select("event_id", "user_id", "ts", us.alias("us"))
+    return ordered.Ordered(e, "user_id", ["ts", "event_id"]).neighbour({"following": F.col("us")}, after=True).select("event_id", (F.col("following") - F.col("us")).alias("gap_us"))
 
 
 @query("SELECT l_orderkey, string_agg(l_linenumber || '$' || l_partkey, '#' ORDER BY l_linenumber, l_partkey) AS packed, count(*) AS n FROM lineitem GROUP BY l_orderkey")
