@@ -66,7 +66,7 @@ _UNQUOTED = re.compile(r"^\s*(?:#|//|;|--|\*)?\s*(?P<n>[A-Za-z][\w.\-]*)\s*(?P<o
 
 #: What a line must have to hold a credential, unless it goes on from the line before: a name, looked for among the line's letters and digits alone, as names are normalised.
 _HINT_NAME = re.compile("|".join([*NAMES, "pass"]))
-_HINT_PLACE = re.compile(r"://|-----|eyJ|[sr]k_|gh[pousr]_|glpat|xox|AKIA|AIza|\s-u|--user")
+_HINT_PLACE = re.compile(r"@|-----|eyJ|[sr]k_|gh[pousr]_|glpat|xox|AKIA|AIza|\s-u|--user")
 _PUNCTUATION = {c: None for c in range(128) if not chr(c).isalnum()}
 
 
@@ -77,6 +77,11 @@ def _may_hold(line: str) -> bool:
     return bool(_HINT_NAME.search(flat) or _HINT_PLACE.search(line))
 
 
+def _object_may_hold(text: str) -> bool:
+    """The same of a whole JSON text; encoded letters may hide a name."""
+    return "%" in text or "\\u00" in text or _may_hold(text)
+
+
 def sensitive(name: str) -> bool:
     """A variable, field or parameter of this name holds a credential."""
     flat = re.sub(r"[^a-z0-9]", "", re.sub(r"\[['\"]?([\w\-]+)['\"]?\]$", r".\1", name.strip("'\"")).rsplit(".", 1)[-1].lower())
@@ -341,6 +346,8 @@ def redact_file(data: bytes) -> bytes:
 
 def redact_object(text: str) -> str:
     """The object with every credential blanked where it stands; it still loads."""
+    if not _object_may_hold(text):
+        return text
     for a, b in in_object(text)[1]:
         text = text[:a] + "*" * (b - a) + text[b:]
     return text
@@ -361,7 +368,7 @@ def find_credentials(results: DataFrame, hot: int = 200_000) -> DataFrame:
         for b in batches:
             out = []
             for r, text in zip(b["result_id"], b["text"], strict=True):
-                key, secrets = in_object(text)
+                key, secrets = in_object(text) if _object_may_hold(text) else (None, [])
                 if secrets:
                     out.append((r, "sites", key, 0))
             yield pd.DataFrame(out, columns=["result_id", "holder", "item", "line_no"])
