@@ -419,4 +419,4 @@ def vector_best_match(spark, t):
 def source_activity(spark, t):
     return t("channels").groupBy("source").agg(F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("last_seen"), F.count(F.lit(1)).alias("lines"), F.countDistinct("channel_key").alias("keys"))
 
-from playweave.plans import catalog_media, catalog_sources, catalog_state  # noqa: E402, F401  (they register their queries)
+from playweave.plans import catalog_media, catalog_sources, catalog_state, catalog_streams  # noqa: E402, F401  (they register their queries)
