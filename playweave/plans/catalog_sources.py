@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from playweave.functions import nested, payload, text, urls
-from playweave.operators import classify, configs
+from playweave.operators import classify, configs, ledger
 from playweave.operators.classify import Stage
 from playweave.plans import pipelines
 from playweave.plans.registry import query, trimmed_sql
@@ -212,3 +212,77 @@ def aggregate_inventory(spark, t):
     """A whole aggregation: what it publishes, by kind and status."""
     run = pipelines.aggregate(_fetched(t), _STAGES, "unsorted")
     return run["inventory"].groupBy("kind", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- payloads and addresses
+
+@query("SELECT doc_id, sha256(replace(text, chr(13) || chr(10), chr(10))) AS digest, text AS back FROM documents WHERE text IS NOT NULL")
+def payload_digests(spark, t):
+    d = t("documents").filter("text IS NOT NULL").select("doc_id", F.encode("text", "utf-8").alias("data"))
+    return d.select("doc_id", payload.content_digest(F.col("data")).alias("digest"), payload.decode_text("data").alias("back"))
+
+
+@query("SELECT event_id, true AS sealed, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def opened_envelopes(spark, t):
+    """Properties sealed into encrypted envelopes, told to be such, and opened again."""
+    key, iv = b"\x24k3y#", b"0123456789abc"
+    plain = F.concat(F.lit('{"pad": "0123456789abcdef0123", "own": '), "props", F.lit("}"))
+    body = F.lower(F.hex(F.substring(F.aes_encrypt(F.encode(plain, "utf-8"), F.lit(key.ljust(16, b"0")), F.lit("CBC"), F.lit("PKCS"), F.lit(iv.ljust(16, b"0"))), 17, 1 << 20)))
+    sealed = F.concat(F.lit("2423" + key.hex() + "2324"), body, F.lit(iv.hex()))
+    e = t("events").select("event_id", sealed.alias("x"))
+    return e.select("event_id", payload.is_encrypted(F.col("x")).alias("sealed"), F.try_variant_get(payload.parse_config(F.col("x")), "$.own.k", "bigint").alias("k"))
+
+
+@query("SELECT result_id, CASE WHEN result_id % 3 = 0 THEN 'https://h.example/' || result_id || '/a%20b?q=x%20y' ELSE trim(effective_url) END AS url FROM source_results WHERE regexp_matches(effective_url, '^[a-zA-Z0-9:/._-]+$')")
+def normalized_addresses(spark, t):
+    r = t("source_results").filter(F.col("effective_url").rlike("^[a-zA-Z0-9:/._-]+$"))
+    given = F.when(F.col("result_id") % 3 == 0, F.concat(F.lit("https://h.example/"), "result_id", F.lit("/a b?q=x y"))).otherwise(F.col("effective_url"))
+    proxied = F.when(F.col("result_id") % 2 == 0, F.concat(F.lit(" https://mirror.example/"), given)).otherwise(given)
+    return r.select("result_id", urls.normalized(proxied, ["https://mirror.example/", "https://other.example/"]).alias("url"))
+
+
+_HOST = r"lower(regexp_extract(url, '^\s*[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1))"
+
+
+@query(f"SELECT check_id, CASE WHEN {_HOST} IN ('edge2.ostrel.test', 'px2.corvane.example') THEN 'https://mirror.example/' || url ELSE url END AS mirrored, 'https://relay.example/?u=' || url_encode(url) AS relayed FROM health_items WHERE regexp_matches(url, '^[a-zA-Z0-9:/._?=&-]+$')")
+def mirrored_addresses(spark, t):
+    h = t("health_items").filter(F.col("url").rlike(r"^[a-zA-Z0-9:/._?=&-]+\z"))
+    return h.select("check_id", urls.mirrored(F.col("url"), ["edge2.ostrel.test", "px2.corvane.example"], "https://mirror.example/").alias("mirrored"), urls.relay(F.col("url"), "https://relay.example/?u={url}").alias("relayed"))
+
+
+@query("SELECT result_id, 'https://raw.example/o/main/' || array_to_string(list_transform(string_split(kind || '/a b/' || result_id, '/'), lambda x: url_encode(x)), '/') AS url, 'https://h.example/x/' || result_id || '.json' AS resolved FROM source_results WHERE kind IS NOT NULL")
+def built_addresses(spark, t):
+    r = t("source_results").filter("kind IS NOT NULL")
+    return r.select("result_id", urls.raw_address("https://raw.example/o/main/", F.concat_ws("/", "kind", F.lit("a b"), F.col("result_id"))).alias("url"), urls.resolve(F.concat(F.lit("../x/"), "result_id", F.lit(".json")), F.lit("https://h.example/y/config.json")).alias("resolved"))
+
+
+@query(f"SELECT name, url, grp AS group_raw, CAST(row_number() OVER (ORDER BY row_id) - 1 AS BIGINT) AS rank FROM {_ROWS} WHERE name <> '' AND regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://') AND NOT contains(url, chr(10)) AND NOT contains(url, chr(13))")
+def playlist_round_trip(spark, t):
+    """Channels written as a playlist, each line with its place, and read again."""
+    c = _channel_rows(t).filter((F.col("name") != "") & F.col("url").rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://") & ~F.col("url").contains("\n") & ~F.col("url").contains("\r"))
+    lines = playlists.to_m3u(c.select("row_id", "name", "url", F.col("grp").alias("group_name"), F.lit(None).cast("string").alias("logo"), F.lit("").alias("tvg_id")), [F.col("row_id")]).filter("rank >= 0")
+    back = playlists.m3u(lines.select(F.col("rank").cast("string").alias("source"), F.col("value").alias("text")))
+    return back.select("name", "url", "group_raw", F.col("source").cast("bigint").alias("rank"))
+
+
+# --- ledgers and items
+
+@query("SELECT channel_key, arg_min(CASE WHEN group_name IS NULL THEN 0 ELSE 1 END, row_id) = 1 AS has_category, count(*) AS lines, md5(string_agg(row_id, ',' ORDER BY row_id)) AS rows FROM channels WHERE channel_key IS NOT NULL GROUP BY channel_key")
+def nested_ledger(spark, t):
+    n = ledger.nested_ledger(t("channels"))
+    return n.select("channel_key", F.col("category").isNotNull().alias("has_category"), F.size("lines").cast("bigint").alias("lines"), F.md5(F.array_join(F.transform("lines", lambda x: x["row_id"]), ",")).alias("rows"))
+
+
+_ITEMS = """WITH a AS (SELECT 'source' AS kind, source AS name, effective_url AS url, result_id AS o, 0 AS p FROM source_results UNION ALL SELECT 'site', json_extract_string(j, '$.name'), json_extract_string(j, '$.api'), result_id, n FROM (SELECT result_id, unnest(sites) AS j, generate_subscripts(sites, 1) AS n FROM source_results)
+  UNION ALL SELECT 'live', json_extract_string(j, '$.name'), json_extract_string(j, '$.url'), result_id, n FROM (SELECT result_id, unnest(lives) AS j, generate_subscripts(lives, 1) AS n FROM source_results) UNION ALL SELECT 'channel', name, url, row_id, 0 FROM channels)
+SELECT kind, name, url FROM (SELECT *, row_number() OVER (PARTITION BY kind, url, CASE WHEN kind IN ('site', 'live') THEN coalesce(name, '') ELSE '' END ORDER BY o, p) AS rn FROM a WHERE trim(coalesce(url, ''), ' ') <> '') WHERE rn = 1"""
+
+
+@query(_ITEMS)
+def check_items(spark, t):
+    return ledger.items(t("source_results"), t("channels")).select("kind", "name", "url")
+
+
+@query(f"SELECT kind, count(*) AS n FROM ({_ITEMS}) GROUP BY kind")
+def item_counts(spark, t):
+    return ledger.counts(ledger.items(t("source_results"), t("channels")), "kind")
