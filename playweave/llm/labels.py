@@ -4,8 +4,9 @@ The reference list is a table of fixed size (its bound is checked). Each of its
 into a symmetric-delete dictionary: all strings reached by deleting up to k characters. A label is cleaned of
 decoration, its own deletions are looked up, and the entries that share a deletion are ranked by weighted
 Damerau-Levenshtein distance, then by how often the entry's exact name occurs in the corpus, then by number. Codes must
-fit exactly, names of fewer than eight letters may differ by one edit, longer ones by two. The dictionary is broadcast;
-labels are never shuffled.
+fit exactly, names of fewer than eight letters may differ by one edit, longer ones by two. The dictionary is broadcast where its
+size is within bounds. A larger reference list becomes a table of deletions, which meets the deletions of the distinct labels in a join (`by_join`); both
+ways give the same entries.
 
 Nulls, blanks and garbled labels (problem 4) take no part, nor do labels that are an entry's name as they stand. A label
 that means no entry gets 0. Labels are taken whole; equal labels get equal entries. An empty reference list gives 0.
@@ -22,9 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playweave.common import is_blank, small_rows
+from playweave.common import is_blank, materialize, small_rows
 from playweave.llm.garble import GarbleModel, source_cell, without_garbled
 from playweave.llm.lookalike import visible
+from playweave.operators.skew import attach_group_facts
 
 FIELDS = ["group_raw", "source_section", "group_name"]
 #: Bounds of the dictionary, which is broadcast: entries, and characters of all deletions of their forms (a list of 20,000 names of 40 letters has some 600 million).
@@ -140,6 +142,15 @@ def fit(channels: DataFrame, reference: DataFrame, **options) -> Dictionary:
     return Dictionary(entries, {r["label"]: r["count"] for r in small_rows(counts, MOST_ENTRIES)}, **options)
 
 
+def typed_labels(channels: DataFrame, reference: DataFrame, model: GarbleModel) -> DataFrame:
+    """(row_id, field_name, label) of every label that is to be mapped."""
+    entries = F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("label")) for f in FIELDS))
+    rows = channels.select("row_id", source_cell(F.col("source")).alias("cell"), F.explode(entries).alias("e")).select("row_id", "cell", "e.*")
+    names = reference.select(F.col("canon_name").alias("label")).filter("label IS NOT NULL").distinct()
+    rows = rows.filter(~is_blank(F.col("label"))).join(names, "label", "left_anti")
+    return without_garbled(rows, "label", model).select("row_id", "field_name", "label")
+
+
 def map_labels(channels: DataFrame, reference: DataFrame, dictionary: Dictionary, model: GarbleModel) -> DataFrame:
     """(row_id, field_name, label, canon_id) of every label that is to be mapped; canon_id 0 reports a miss."""
     held = channels.sparkSession.sparkContext.broadcast(dictionary)
@@ -148,8 +159,48 @@ def map_labels(channels: DataFrame, reference: DataFrame, dictionary: Dictionary
     def entry(labels: pd.Series) -> pd.Series:
         return pd.Series([held.value.look_up(x) for x in labels], dtype="int32")
 
-    entries = F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("label")) for f in FIELDS))
-    rows = channels.select("row_id", source_cell(F.col("source")).alias("cell"), F.explode(entries).alias("e")).select("row_id", "cell", "e.*")
-    names = F.broadcast(reference.select(F.col("canon_name").alias("label")).filter("label IS NOT NULL").distinct())
-    rows = rows.filter(~is_blank(F.col("label"))).join(names, "label", "left_anti")
-    return without_garbled(rows, "label", model).select("row_id", "field_name", "label", entry("label").alias("canon_id"))
+    return typed_labels(channels, reference, model).withColumn("canon_id", entry("label"))
+
+
+def within_bounds(reference: DataFrame, most_entries: int = MOST_ENTRIES, most_letters: int = MOST_LETTERS) -> bool:
+    """The dictionary of the reference list may be broadcast."""
+    n = lambda c: F.coalesce(F.length(c), F.lit(0)).cast("double")
+    letters = n("canon_name") ** 3 / 2 + n("name_en") ** 3 / 2 + n("short_code")
+    r = reference.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(letters), F.lit(0.0)).alias("letters")).first()
+    return r["n"] <= most_entries and r["letters"] <= most_letters
+
+
+def by_join(channels: DataFrame, reference: DataFrame, model: GarbleModel, hot: int = 200_000) -> DataFrame:
+    """What map_labels gives, for a reference list of any size: deletions of both sides meet in a join, and the best entry goes back to the rows of its label."""
+    rows = materialize(typed_labels(channels, reference, model), "typed-labels")
+    uses = channels.select(F.explode(F.array(*FIELDS)).alias("canon_name")).groupBy("canon_name").agg(F.count(F.lit(1)).alias("frequency"))
+
+    def of_reference(batches):
+        for b in batches:
+            out = []
+            for i, name, english, code in zip(b["canon_id"], b["canon_name"], b["name_en"], b["short_code"], strict=True):
+                for text, is_code in ((name, False), (english, False), (code, True)):
+                    letters = next(iter(forms(text)), "") if text else ""
+                    allowed = edits_allowed(letters, is_code)
+                    out += [(int(i), letters, allowed, d) for d in deletions(letters, allowed) if letters]
+            yield pd.DataFrame(out, columns=["canon_id", "letters", "allowed", "deletion"])
+
+    def of_labels(batches):
+        for b in batches:
+            out = [(label, step, w, d) for label in b["label"] for step, w in enumerate(forms(label)) for d in deletions(w, 0 if len(w) < 3 or len(w) > longest + 2 else 1 if len(w) < 7 else 2)]
+            yield pd.DataFrame(out, columns=["label", "step", "form", "deletion"])
+
+    @F.pandas_udf(T.DoubleType())
+    def far(a: pd.Series, b: pd.Series, allowed: pd.Series) -> pd.Series:
+        return pd.Series([0.0 if x == y else distance(x, y, n) for x, y, n in zip(a, b, allowed, strict=True)])
+
+    entries = reference.select("canon_id", "canon_name", "name_en", "short_code").mapInPandas(of_reference, "canon_id int, letters string, allowed int, deletion string")
+    entries = materialize(entries, "reference-deletions")
+    # Longer forms than any of the reference's can only fit exactly; their deletions are not built.
+    longest = entries.agg(F.coalesce(F.max(F.length("letters")), F.lit(0))).first()[0]
+    sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    near = sizes.select("label").mapInPandas(of_labels, "label string, step int, form string, deletion string").join(entries, "deletion")
+    near = near.select("label", "step", "form", "canon_id", "letters", "allowed").distinct().withColumn("far", far("form", "letters", "allowed")).filter("far <= allowed * 1.1 + 1e-9")
+    near = near.join(reference.select("canon_id", "canon_name"), "canon_id").join(uses, "canon_name", "left")
+    best = near.groupBy("label").agg(F.min(F.struct("far", (-F.coalesce("frequency", F.lit(0))).alias("f"), "step", "canon_id"))["canon_id"].alias("canon_id"))
+    return attach_group_facts(rows, sizes.join(best, "label"), ["label"], "n", hot, "left").select("row_id", "field_name", "label", F.coalesce("canon_id", F.lit(0)).cast("int").alias("canon_id"))

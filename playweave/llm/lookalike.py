@@ -181,7 +181,7 @@ def _apply(texts: pd.Series, fixes: pd.Series) -> pd.Series:
 
 def alike_rows(names: DataFrame, scope: str, one_script: bool = True, hot: int = 200_000) -> DataFrame:
     """(row_id, name, scope, same, set, n, class_row): the rows of sets of at least two spellings; class_row is the set's smallest row_id, n its rows."""
-    rows = repaired(names, one_script, hot).select("row_id", "name", scope, "same", F.xxhash64(scope, "same").alias("set"))
+    rows = repaired(names.select("row_id", "name", scope), one_script, hot).select("row_id", "name", scope, "same", F.xxhash64(scope, "same").alias("set"))
     spelling = F.xxhash64("name")
     sets = rows.groupBy("set").agg(F.min(spelling).alias("least"), F.max(spelling).alias("most"), F.count(F.lit(1)).alias("n"), F.min("row_id").alias("class_row"))
     return materialize(attach_group_facts(rows, sets.filter("least <> most").select("set", "n", "class_row"), ["set"], "n", hot), "alike-rows")

@@ -14,7 +14,10 @@ from playweave.llm import copies, credentials, garble, labels, langid, leakage,
 def p1_mapped(spark: SparkSession, d: str) -> DataFrame:
     """Every label that is to be mapped, with its entry; 0 reports a miss."""
     channels, reference = table(spark, d, "channels"), table(spark, d, "canonical_groups")
-    return labels.map_labels(channels, reference, labels.fit(channels, reference), garble.fit(channels))
+    model = garble.fit(channels)
+    if labels.within_bounds(reference):
+        return labels.map_labels(channels, reference, labels.fit(channels, reference), model)
+    return labels.by_join(channels, reference, model)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
