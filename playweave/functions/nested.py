@@ -21,6 +21,7 @@ from playweave.functions.urls import SENSITIVE_NAMES, requoted
 REFERENCES, PLUGIN_FIELDS = {"api", "url", "ext", "jar", "logo", "epg"}, {"api", "ext", "jar"}
 _SENSITIVE = frozenset(SENSITIVE_NAMES)
 _USERINFO, _HEADER, _BEARER, _PARAMETER, _PAIR, _PLACEHOLDER = map(re.compile, (texts.USERINFO, texts.HEADER, texts.BEARER, texts.PARAMETER, texts.PAIR, texts.PLACEHOLDER))
+#: Parameters and bare pairs as redaction knows them, with a name of any kind.
 _QUERY = re.compile(r"([?&;])([A-Za-z0-9_.-]+)=([^&#\s\"'<>]*)")
 _BARE = re.compile(r"(?<![\w?&;.])([A-Za-z][A-Za-z0-9_.-]*)\s*[=:]\s*([^\s,;]+)")
 

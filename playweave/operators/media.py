@@ -127,6 +127,10 @@ def candidates(wanted: DataFrame, found: DataFrame, id_: str, name: str, artist:
     return best.select("wanted", "b.match", (F.col("b._rank") == 0).alias("same_id"))
 
 
+#: Bitrates whose names are set right: bitrate, names that are wrong for it, the right one.
+RATE_NAMES = [(2000, "高清|720|^原画$", "超清"), (1200, "标清|480", "高清")]
+
+
 def rate_lines(servers: DataFrame, rates: DataFrame, room: str, most: int = 3) -> DataFrame:
     """(room, line, server, rate, name): each room's best servers by priority with all its rates, the greatest first; of rates of one bitrate the first counts.
 
@@ -134,7 +138,9 @@ def rate_lines(servers: DataFrame, rates: DataFrame, room: str, most: int = 3) -
     """
     best = servers.withColumn("line", F.row_number().over(W.partitionBy(room).orderBy(F.desc("priority"), "ord"))).filter(F.col("line") <= most).select(room, "line", "server")
     first = keep_first(rates, [F.col(room), F.col("bitrate")], [F.col("ord")])
-    label = F.when((F.col("bitrate") == 2000) & (F.col("name").rlike("高清|720") | (F.col("name") == "原画")), "超清").when((F.col("bitrate") == 1200) & F.col("name").rlike("标清|480"), "高清").otherwise(F.col("name"))
+    label = F.col("name")
+    for bitrate, wrong, right in reversed(RATE_NAMES):
+        label = F.when((F.col("bitrate") == bitrate) & F.col("name").rlike(wrong), right).otherwise(label)
     return best.join(first.select(room, "bitrate", label.alias("name")), room).select(room, "line", "server", "bitrate", "name")
 
 
