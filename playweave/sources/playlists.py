@@ -154,3 +154,11 @@ def quarantine(files: DataFrame, path: str) -> None:
     """Duplicates are added to a table of their own, named with their digest; nothing is deleted."""
     stem = F.regexp_replace("name", r"\.py$", "")
     files.filter("role = 'duplicate'").select(F.concat(stem, F.lit("-"), F.substring("digest", 1, 10), F.lit(".py")).alias("name"), "path", "digest", "content").write.mode("append").parquet(path)
+
+
+def named_files(files: DataFrame, order: list[str]) -> DataFrame:
+    """Files (url, content) with the name to keep each under: that of its address, with ten digits of its digest where the first file of that name by order has another content. Files without an address are left out."""
+    rows = files.withColumns({"_name": payload.file_name(F.col("url")), "digest": payload.content_digest(F.col("content"))})
+    first = rows.groupBy("_name").agg(F.min_by("digest", F.struct(*order)).alias("_first"))
+    own = F.concat(F.regexp_replace("_name", r"(?i)\.py$", ""), F.lit("-"), F.substring("digest", 1, 10), F.lit(".py"))
+    return rows.join(first, "_name").withColumn("name", F.when(F.col("digest") == F.col("_first"), F.col("_name")).otherwise(own)).drop("_name", "_first")

@@ -8,8 +8,12 @@ import urllib.request
 from dataclasses import dataclass, field
 from urllib.parse import quote, urlsplit
 
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from playweave.functions.urls import requoted
+
 SCHEMA = "source string, status int, content_type string, effective_url string, data binary, error string, via_relay boolean, redirects array<string>, attempts int"
 
 
@@ -116,3 +120,44 @@ class WebReader(DataSourceReader):
         for u in partition.urls if partition else []:
             a = attempt(u, [u, *(m + u for m in self.mirrors)], self.retries, self.timeout, relay=self.relay)
             yield (u, a.status, a.content_type, a.url, a.data, a.error, a.via_relay, a.redirects, a.attempts)
+
+
+#: Agents that a check tries in turn.
+AGENTS = ["okhttp/3.12", "Mozilla/5.0", "Lavf/60.3", "VLC/3.0"]
+ATTEMPTS = "url string, n int, agent string, http_status int, content_type string, final_url string, detail string, failure_class string, redirects int, body binary"
+
+
+def check(url: str, agents: list[str] = AGENTS, timeout: float = 15.0, read: int = 64 << 10, opener=None, confirm: float = 1.5, sleep=time.sleep) -> list[tuple]:
+    """Recorded attempts of one address (n, agent, status, content type, final address, detail, redirects, body): each agent in turn until one gets an answer
+    below 400; where every one was told that the thing is gone, once more after a pause, since single servers of a network may err. Never raises."""
+    out: list[tuple] = []
+    address = requoted(url)
+
+    def once(agent: str) -> bool:
+        handler = Redirects()
+        open_ = opener or urllib.request.build_opener(handler).open
+        try:
+            with open_(urllib.request.Request(address, headers={"User-Agent": agent}), timeout=timeout) as r:
+                out.append((len(out) + 1, agent, r.status, r.headers.get("Content-Type"), r.geturl(), "", len(handler.seen), r.read(read)))
+                return r.status < 400
+        except urllib.error.HTTPError as e:
+            out.append((len(out) + 1, agent, e.code, None, url, f"HTTP {e.code}", len(handler.seen), None))
+        except Exception as e:  # noqa: BLE001
+            out.append((len(out) + 1, agent, None, None, url, str(getattr(e, "reason", e)) or type(e).__name__, len(handler.seen), None))
+        return False
+
+    if not any(once(a) for a in agents) and all(x[2] in (404, 410) for x in out):
+        sleep(confirm)
+        once(agents[0])
+    return out
+
+
+def attempts(items: DataFrame, agents: list[str] = AGENTS, timeout: float = 15.0, opener=None) -> DataFrame:
+    """Attempts at the distinct addresses (url) of a table, made in its partitions; `health.attempts_verdict` sums them up."""
+
+    def run(batches):
+        for b in batches:
+            rows = [(u, n, a, s, t, f, d, "", r, body) for u in b["url"] for n, a, s, t, f, d, r, body in check(u, agents, timeout, opener=opener)]
+            yield pd.DataFrame(rows, columns=["url", "n", "agent", "http_status", "content_type", "final_url", "detail", "failure_class", "redirects", "body"]).astype({"http_status": "Int32"})
+
+    return items.select("url").filter("url IS NOT NULL").distinct().mapInPandas(run, ATTEMPTS)

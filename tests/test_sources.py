@@ -38,6 +38,44 @@ def test_fallbacks():
     assert web.error_label(urllib.error.URLError(TimeoutError())) == "URLError: TimeoutError"
 
 
+def test_checks(spark):
+    """Agents in turn, one confirmation where all were told 404, and what the attempts come to."""
+    from playweave.operators import health
+
+    seen, waits = [], []
+
+    def opener(answers):
+        left = list(answers)
+
+        def open_(request, timeout):
+            seen.append(request.full_url)
+            code = left.pop(0)
+            if code is None:
+                raise urllib.error.URLError("timed out")
+            if code >= 400:
+                raise urllib.error.HTTPError(request.full_url, code, "no", {}, None)
+            return Reply(b"#EXTM3U", "http://final/", code)
+
+        return open_
+
+    run = lambda *codes: web.check("http://h/a b", opener=opener(codes), sleep=waits.append)
+    assert [x[2] for x in run(404, 200)] == [404, 200] and not waits and seen[0] == "http://h/a%20b"
+    assert [x[2] for x in run(404, 404, 404, 404, 200)] == [404] * 4 + [200] and len(waits) == 1
+    assert [x[2] for x in run(404, 503, 404, 410)] == [404, 503, 404, 410] and len(waits) == 1
+    cases = {"ok": run(404, 200), "back": run(404, 404, 410, 404, 200), "gone": run(404, 404, 410, 404, 404), "soft": run(404, 503, 404, 404), "late": run(None, 404, 404, 404)}
+    rows = spark.createDataFrame([(k, x[2], x[5], "") for k, v in cases.items() for x in v], "url string, http_status int, detail string, failure_class string")
+    assert {r["url"]: r["verdict"] for r in health.attempts_verdict(rows, "url").collect()} == {"ok": "reachable", "back": "reachable", "gone": "hard", "soft": "soft", "late": "soft"}
+    df = spark.createDataFrame([("http://127.0.0.1:9/x",), ("http://127.0.0.1:9/x",), (None,)], "url string")
+    got = web.attempts(df, ["a/1", "b/1"], timeout=2).collect()
+    assert [(r["n"], r["agent"], r["http_status"]) for r in sorted(got, key=lambda r: r["n"])] == [(1, "a/1", None), (2, "b/1", None)]
+
+
+def test_named_files(spark):
+    rows = [(1, "https://h/a.py", b"x\r\n"), (2, "https://m/a.py?v=2", b"x\n"), (3, "https://h/sub/a.py", b"other"), (4, "https://h/b", b"y"), (5, None, b"z")]
+    got = {r["i"]: r["name"] for r in playlists.named_files(spark.createDataFrame(rows, "i int, url string, content binary"), ["i"]).collect()}
+    assert got[1] == got[2] == "a.py" and got[3].startswith("a-") and len(got[3]) == 15 and got[4] == "b.py" and 5 not in got
+
+
 def test_data_source(spark):
     spark.dataSource.register(web.WebSource)
     rows = spark.read.format("playweave-web").option("urls", "http://127.0.0.1:9/a\nhttp://127.0.0.1:9/b\n").option("retries", "1").option("timeout", "2").load().collect()
