@@ -34,16 +34,21 @@ PIECE_CHARS = 4096
 _RECEIVED: dict[tuple[str, str], bytes] = {}
 
 
-def ship(spark: SparkSession, folder: str = TOKENIZERS, name: str = "byte_bpe_50k"):
-    """Function that makes a vocabulary known in a worker: the driver reads its file, workers need no copy on their disks."""
-    with open(f"{folder}/{name}.tiktoken", "rb") as f:
-        held = spark.sparkContext.broadcast(f.read())
+class Vocabulary:
+    """Called in a worker, makes a vocabulary known there. A class of this module, not a closure: what it sets must be this module's own table."""
+
+    def __init__(self, held, folder: str, name: str):
+        self.held, self.key = held, (folder, name)
 
-    def receive() -> None:
-        if (folder, name) not in _RECEIVED:
-            _RECEIVED[folder, name] = held.value
+    def __call__(self) -> None:
+        if self.key not in _RECEIVED:
+            _RECEIVED[self.key] = self.held.value
 
-    return receive
+
+def ship(spark: SparkSession, folder: str = TOKENIZERS, name: str = "byte_bpe_50k") -> Vocabulary:
+    """The driver reads a vocabulary's file; workers need no copy on their disks."""
+    with open(f"{folder}/{name}.tiktoken", "rb") as f:
+        return Vocabulary(spark.sparkContext.broadcast(f.read()), folder, name)
 
 
 @lru_cache(maxsize=4)

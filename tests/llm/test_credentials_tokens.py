@@ -145,3 +145,16 @@ def test_redaction_by_place():
         assert len(out) == len(outer) and set(json.loads(json.loads(out)["ext"])["login"]["passwd"]) == {"*"} and json.loads(out)["key"] == "k"
     deep = "[" * 100_000 + '{"key":"d","password":"Orbit_Ember9873"}' + "]" * 100_000
     assert "Orbit" not in credentials.redact_object(deep) and credentials.in_object(deep)[1]
+
+
+def test_workers_need_no_file(spark, tmp_path):
+    """The vocabulary comes from the driver: its folder may be gone when the tasks run."""
+    import shutil
+
+    folder = tmp_path / "vocabulary"
+    folder.mkdir()
+    shutil.copy(f"{tokens.TOKENIZERS}/byte_bpe_50k.tiktoken", folder)
+    df = spark.createDataFrame([(1, "some words"), (2, "x" * 5000)], "doc_id bigint, text string")
+    out = tokens.encode_corpus(df, piece_chars=1000, folder=str(folder))
+    shutil.rmtree(folder)
+    assert {r["doc_id"]: r["ids"] for r in out.collect()} == {1: tokens.encoder().encode_ordinary("some words"), 2: tokens.encoder().encode_ordinary("x" * 5000)}
