@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from playweave.functions import urls
-from playweave.operators import checks, health, state, whitelist
-from playweave.plans.catalog import _DECISIVE, _INTERNAL, _SHIFTED, _SOFT, _shifted
-from playweave.plans.registry import query
+from playweave.operators import checks, health, publish, state, whitelist
+from playweave.plans.catalog import _DECISIVE, _INTERNAL, _SHIFTED, _SOFT, _shifted, _spiked
+from playweave.plans.registry import SQL, query
 
 WHITELIST = ["# protected", "veltra.example", " .ostrel.test # and all under it", "https://edge2.corvane.example/play.php", "", "HTTPS://CDN1.nimbus-tv.test/live"]
 _HOST = r"lower(regexp_extract(url, '^\s*[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1))"
@@ -202,3 +202,11 @@ def failing_hosts(spark, t):
 def recent_checks(spark, t):
     rows = state.recent(t("health_items").filter("url IS NOT NULL AND checked_at IS NOT NULL"), "url", ["checked_at", "check_id"])
     return rows.select("url", F.array_join(F.transform("recent", lambda x: F.concat(F.date_format(x["checked_at"], "yyyyMMddHHmmss"), F.lit(":"), x["check_id"])), ",").alias("recent"))
+
+
+@query(f"SELECT id AS check_id, CAST(userinfo AS INT) + CAST(query AS INT) + CAST(value AS INT) + CAST(header AS INT) + CAST(bearer AS INT) AS found, false AS left FROM ({SQL['credential_findings']}) WHERE id IN (SELECT check_id FROM health_items) AND header")
+def guarded_report(spark, t):
+    """Texts with credentials, before the gate and behind it."""
+    rows = publish.findings(_spiked(t)).select("check_id", F.size("findings").alias("found"))
+    behind = publish.findings(publish.guarded(_spiked(t))).select("check_id", (F.exists("findings", lambda x: x.contains("userinfo") | x.contains("query"))).alias("left"))
+    return rows.join(behind, "check_id")

@@ -152,3 +152,12 @@ def test_conform(spark):
     out = schemas.conform(df, schemas.ITEM)
     assert [(r["kind"], r["http_status"], r["url"]) for r in out.collect()] == [("x", 200, None), ("y", None, None)] and "extra" not in out.columns
     assert health.host_incidents(out).count() == 0
+
+
+def test_gate(spark, tmp_path):
+    from playweave.operators import publish
+
+    df = spark.createDataFrame([(1, "http://u:p@h/?token=abcd", "plain", "abc"), (2, "fine", None, "{{T}}"), (3, None, "Token: abc123", "")], "n int, url string, detail string, token string")
+    assert [r["findings"] for r in publish.findings(df).orderBy("n").collect()] == [["url:url-userinfo", "url:query", "token:field"], [], ["detail:value"]]
+    assert [tuple(r)[1:] for r in publish.guarded(df).orderBy("n").collect()] == [("http://<redacted>@h/?token=<redacted>", "plain", "<redacted>"), ("fine", None, "{{T}}"), (None, "Token=<redacted>", "")]
+    assert publish.write_report({"a": df, "b": df.limit(0)}, str(tmp_path)) == {"a": 2, "b": 0} and spark.read.json(f"{tmp_path}/a").count() == 3
