@@ -51,7 +51,7 @@ def _envelope(text: Column) -> tuple[Column, Column, Column]:
 def is_encrypted(text: Column) -> Column:
     """A hexadecimal envelope: 80 characters or more, opening mark, inner mark, whole AES blocks between; false for null."""
     t, mark, body = _envelope(text)
-    return F.coalesce(t.rlike(f"^{OPENING}[0-9a-f]{{{80 - len(OPENING)},}}$") & (mark > 0) & (body > 0) & (F.pmod(body, F.lit(BLOCK_DIGITS)) == 0), F.lit(False))
+    return F.coalesce(t.rlike(f"^{OPENING}[0-9a-f]{{{80 - len(OPENING)},}}\\z") & (mark > 0) & (body > 0) & (F.pmod(body, F.lit(BLOCK_DIGITS)) == 0), F.lit(False))
 
 
 def decrypt(text: Column) -> Column:
@@ -65,7 +65,7 @@ def decrypt(text: Column) -> Column:
 
 def unwrap(text: Column) -> Column:
     """JSON text behind an eight-character mark and `**`, in Base64 with any blanks; null if the whole text has not that form."""
-    body = F.regexp_extract(F.trim(text), r"^[A-Za-z0-9_-]{8}\*\*([A-Za-z0-9+/=\s]+)$", 1)
+    body = F.regexp_extract(F.trim(text), r"^[A-Za-z0-9_-]{8}\*\*([A-Za-z0-9+/=\s]+)\z", 1)
     data = F.try_to_binary(F.regexp_replace(body, r"\s+", ""), F.lit("base64"))
     return F.when(F.length(data) > 0, F.regexp_replace(F.try_validate_utf8(data.cast("string")), "^\ufeff", ""))
 

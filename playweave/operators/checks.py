@@ -44,7 +44,7 @@ def probe_outcomes(attempts: DataFrame, key: str, order: str) -> DataFrame:
 def route(kind: Column, url: Column, status: Column, http_status: Column, content_type: Column, body: Column) -> Column:
     """The path that a check takes, by precedence; body is the answer's text."""
     path, low = F.lower(F.substring_index(url, "?", 1)), F.lower(url)
-    ends = lambda names: F.coalesce(F.regexp_like(path, F.lit("(?:" + "|".join(n.replace(".", "\\.") for n in names) + ")$")), F.lit(False))
+    ends = lambda names: F.coalesce(F.regexp_like(path, F.lit("(?:" + "|".join(n.replace(".", "\\.") for n in names) + ")\\z")), F.lit(False))
     yes = lambda c: F.coalesce(c, F.lit(False))
     stream = kind.isin("live", "channel")
     head = F.upper(F.substring(body, 1, 8192))

@@ -149,9 +149,10 @@ def name_normalise(spark, t):
     return t("channels").select("row_id", text.fold_name(F.col("name")).alias("folded"))
 
 
-@query(f"SELECT row_id, regexp_replace(lower(folded), '{text.SEPARATORS}', '', 'g') AS identity FROM ({SQL['name_normalise']})")
+@query(f"SELECT row_id, replace(regexp_replace(lower(folded), '{text.SEPARATORS}', '', 'g'), 'ς', 'σ') AS identity FROM ({SQL['name_normalise']})")
 def name_identity(spark, t):
-    return t("channels").select("row_id", text.identity(F.col("name")).alias("identity"))
+    # At the end of a word the lower-case sigma has a form of its own, which the SQL's lower does not know.
+    return t("channels").select("row_id", F.translate(text.identity(F.col("name")), "ς", "σ").alias("identity"))
 
 
 def _redacted(c: str) -> str:

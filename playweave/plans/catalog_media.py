@@ -197,7 +197,7 @@ def episode_numbers(spark, t):
     return media.episodes(rows, "l_orderkey", "o").select("l_orderkey", "number", F.col("o.l_linenumber").alias("l_linenumber"))
 
 
-@query("SELECT o_orderkey, lpad(CAST(o_custkey // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(o_custkey % 60 AS VARCHAR), 2, '0') AS length, coalesce(regexp_extract(o_orderpriority, '(\\d{1,9})', 1), '')::BIGINT AS number FROM orders")
+@query("SELECT o_orderkey, printf('%02d:%02d', o_custkey // 60, o_custkey % 60) AS length, coalesce(regexp_extract(o_orderpriority, '(\\d{1,9})', 1), '')::BIGINT AS number FROM orders")
 def durations(spark, t):
     return t("orders").select("o_orderkey", media.duration(F.col("o_custkey")).alias("length"), text.episode_number(F.col("o_orderpriority")).alias("number"))
 
