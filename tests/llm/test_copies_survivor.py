@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from playweave.llm import copies, survivor
+from playweave.llm import copies, queries, survivor
 
 SCHEMA = "row_id bigint, url string, channel_key string, h1 string, copies string"
 
@@ -107,3 +107,37 @@ def test_survivor(spark):
     assert not by["twin"]["is_clear"] and not by["alone"]["is_clear"]
     assert survivor.elect(df.limit(0), sources).count() == 0
     assert survivor.elect(df, sources.limit(0)).count() == len(groups)
+
+
+def test_clear_best_goes_through_the_votes(spark, data):
+    """The plan of p6_found unpivots every content field, sums votes of trust times decay on (group, field, value) and elects by max_by."""
+    plan = queries.QUERIES["p6_found"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert "POWER(2.0" in plan and "sum(vote#" in plan and "max_by(" in plan
+    assert all(f"struct(field, {f}, " in plan for f in [*survivor.FIELDS, *survivor.MEASURES, survivor.RECORD])
+
+
+def test_elected_record_has_most_votes(spark):
+    """A record has its vote once for each field that it fills; where votes are 0 (old, untrusted, no date), a clear best is still elected."""
+    rng = random.Random(8)
+    now = dt.datetime(2031, 1, 1)
+    rows = [(i, rng.choice(["s0", "s1", "s3", "s5", "minus", "gone", None]), rng.choice([None, now, now - dt.timedelta(days=rng.randrange(90)), now - dt.timedelta(days=4000 + rng.randrange(3))]), *(rng.choice([None, "x"]) for _ in range(3)), rng.choice([None, ["a"]]), f"k{rng.randrange(150)}") for i in range(1, 500)]
+    rows += [(1001, "s3", now - dt.timedelta(days=1), "l", "t", "q", ["a"], "full"), (1002, "s3", now, None, "t", None, None, "full")]
+    rows += [(1003 + i, "s1", now - dt.timedelta(days=4000), "l", "t", "q" if i else None, ["a"], "old") for i in range(2)]
+    rows += [(1005 + i, "minus", now - dt.timedelta(days=40 - 40 * i), "l", "t", "q", ["a"], "below") for i in range(2)]
+    rows += [(1007 + i, "s5" if i == 4 else "s3", now, "l", "t", "q", ["a"], "many") for i in range(5)]
+    trust = {"s0": 0, "s1": 1, "s3": 3, "s5": 5, "minus": -2}
+    groups: dict = {}
+    for i, s, seen, *fields, key in rows:
+        t = trust.get(s, -1)
+        us = -(10**18) if seen is None else (seen - now) // dt.timedelta(microseconds=1)
+        full = sum(f is not None for f in fields)
+        votes = full * int(max(t, 0) * 2.0 ** (us / (30 * 86400e6)) * survivor.UNIT)
+        groups.setdefault(key, []).append((votes, full, us, t, -i))
+    schema = "row_id bigint, source string, seen_at timestamp, logo string, tvg_id string, quality string, lines array<string>, channel_key string"
+    sources = spark.createDataFrame(list(trust.items()), "source string, trust int")
+    out = {r["key"]: r for r in survivor.elect(spark.createDataFrame(rows, schema), sources, forms=False).collect()}
+    assert {k: r["best_row"] for k, r in out.items()} == {k: -max(g)[-1] for k, g in groups.items()}
+    clear = {k for k, g in groups.items() for m in g if len(g) > 1 and all(all(a <= b for a, b in zip(x[1:4], m[1:4], strict=True)) and x[1:4] != m[1:4] for x in g if x is not m)}
+    assert {k for k, r in out.items() if r["is_clear"]} == clear and {"old", "below", "many"} <= clear and out["full"]["best_row"] == 1001
+    valued = {r["key"]: r for r in survivor.elect(spark.createDataFrame(rows, schema), sources).collect()}
+    assert all(valued[k][c] == r[c] for k, r in out.items() for c in out[k].__fields__)
